@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.ids import normal_id
 from ..session import table
-from . import capping, markup, pii
+from . import capping, history, markup, pii
 
 #: Key of the pseudonyms in the queries; a deployment passes its own.
 PSEUDONYM_KEY = "threadloom"
@@ -51,7 +51,23 @@ def p5_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return markup.strip_markup(_texts(spark, sf_dir), _COLUMNS).select("table_name", "record_id", "clean")
 
 
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = [
+        history.duplicates_of(table(spark, sf_dir, name), text).select(F.lit(name).alias("table_name"), "first_rec_no", "dup_rec_no")
+        for name, text in (("comments", "body"), ("submissions", "selftext"))
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+def p6_last_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest batch of comments against an index of all earlier ones."""
+    comments = table(spark, sf_dir, "comments")
+    newest = comments.agg(F.max("batch_no")).first()[0]
+    return history.duplicates_in_batch(comments, "body", newest if newest is not None else 0)
+
+
 QUERIES = {
+    "p6_found": p6_found, "p6_last_batch": p6_last_batch,
     "p3_found": p3_found, "p3_output_share": p3_output_share, "p4_found": p4_found, "p4_clean": p4_clean, "p5_found": p5_found, "p5_clean": p5_clean,
 }
 
