@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.ids import normal_id
 from ..session import table
-from . import capping, history, markup, pii
+from . import capping, history, leakage, markup, pii
 
 #: Key of the pseudonyms in the queries; a deployment passes its own.
 PSEUDONYM_KEY = "threadloom"
@@ -66,7 +66,19 @@ def p6_last_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.duplicates_in_batch(comments, "body", newest if newest is not None else 0)
 
 
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = leakage.leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+    return found.select("doc_id", "item_id")
+
+
+def p8_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each leaked item the number of documents and its longest stretch."""
+    found = leakage.leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+    return found.groupBy("item_id").agg(F.count("*").alias("documents"), F.max("words").alias("longest"))
+
+
 QUERIES = {
+    "p8_found": p8_found, "p8_items": p8_items,
     "p6_found": p6_found, "p6_last_batch": p6_last_batch,
     "p3_found": p3_found, "p3_output_share": p3_output_share, "p4_found": p4_found, "p4_clean": p4_clean, "p5_found": p5_found, "p5_clean": p5_clean,
 }
