@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.ids import normal_id
 from ..session import table
-from . import capping, history, leakage, markup, pii
+from . import capping, history, leakage, markup, pii, subjects
 
 #: Key of the pseudonyms in the queries; a deployment passes its own.
 PSEUDONYM_KEY = "threadloom"
@@ -77,7 +77,19 @@ def p8_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy("item_id").agg(F.count("*").alias("documents"), F.max("words").alias("longest"))
 
 
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = subjects.document_subjects(table(spark, sf_dir, "documents"), table(spark, sf_dir, "subjects"), table(spark, sf_dir, "subject_examples"))
+    return found.select("doc_id", "subject_code").distinct()
+
+
+def p10_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of each subject."""
+    found = subjects.document_subjects(table(spark, sf_dir, "documents"), table(spark, sf_dir, "subjects"), table(spark, sf_dir, "subject_examples"))
+    return found.groupBy("subject_code").agg(F.count("*").alias("documents"), F.round(F.avg("share"), 4).alias("mean_share"))
+
+
 QUERIES = {
+    "p10_found": p10_found, "p10_composition": p10_composition,
     "p8_found": p8_found, "p8_items": p8_items,
     "p6_found": p6_found, "p6_last_batch": p6_last_batch,
     "p3_found": p3_found, "p3_output_share": p3_output_share, "p4_found": p4_found, "p4_clean": p4_clean, "p5_found": p5_found, "p5_clean": p5_clean,
