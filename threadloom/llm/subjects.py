@@ -63,11 +63,11 @@ TERMS = {
 _ALONE = {w for terms in TERMS.values() for line in terms.split("\n")[-2:] for w in line.split()}
 
 BACKGROUND = 12
-ROUNDS, INNER = 8, 4
+ROUNDS, INNER, CHUNK = 6, 3, 200
 ALPHA, TEXT_WEIGHT, ETA, ANCHOR = 0.02, 3.0, 0.02, 30.0
 MIN_COUNT = 5
-#: First reading: a word counts from this posterior on, a sentence from this much weight of such words (or a term of the lists), a document from this share.
-FIRST_WORD, FIRST_SENTENCE, FIRST_SHARE = 0.6, 1.8, 0.15
+#: First reading: an inspected term counts from this posterior on, a sentence from this many such terms, a document from this share.
+FIRST_WORD, FIRST_SENTENCE, FIRST_SHARE = 0.6, 1.0, 0.15
 #: Second reading: a word counts by how far it keeps to documents of the subject, with this many documents of the base rate added; a sentence from this weight.
 SECOND_WORD, SECOND_SENTENCE, SMOOTH = 0.55, 0.85, 8.0
 SHARE_LEAST = 0.2
@@ -117,45 +117,43 @@ class Topics:
             self.subject[k] = best if sum(w in terms.get(best, ()) for w in top) >= least else None
 
     def word_subjects(self) -> np.ndarray:
-        """(words x subjects) posterior of a word's subject, 0 where it is not clear enough."""
+        """(words x subjects): 1 for inspected terms that the topics give to the same subject, else 0."""
         weight = self.counts / self.counts.sum(0, keepdims=True)
         out = np.zeros((len(self.vocabulary), len(self.codes)))
         for k, s in enumerate(self.subject):
             if s is not None:
                 out[:, self.codes.index(s)] += weight[k]
-        out[out < FIRST_WORD] = 0.0
+        listed = np.zeros_like(out, dtype=bool)
         for c, code in enumerate(self.codes):
             for w in TERMS.get(code, "").split():
-                if w in self.index and out[self.index[w], c]:
-                    out[self.index[w], c] = max(1.0, FIRST_SENTENCE if w in _ALONE else 0.0)
-        return out
+                if w in self.index:
+                    listed[self.index[w], c] = True
+        return ((out >= FIRST_WORD) & listed).astype(float)
 
 
-def expected_counts(texts: list[list[np.ndarray]], phi: np.ndarray) -> np.ndarray:
-    """Summed expected (topic x word) counts under ``phi``; a text is a list of sentences.
+def expected_counts(words: np.ndarray, sizes: np.ndarray, text_sizes: np.ndarray, phi: np.ndarray) -> np.ndarray:
+    """Summed expected (topic x word) counts under ``phi`` of the texts' words.
 
-    A sentence's topic proportions come from its own words and, with less
-    weight, from the whole text, so that sentences in unknown words are drawn
-    to the subject of the sentences around them.
+    ``sizes`` are words per sentence, ``text_sizes`` words per text.  A
+    sentence's topic proportions come from its own words and, with less weight,
+    from the whole text, so that sentences in unknown words are drawn to the
+    subject of the sentences around them.
     """
     k, v = phi.shape
-    sentences = [s for text in texts for s in text]
-    if not sentences:
-        return np.zeros(phi.shape)
-    words = np.concatenate(sentences)
-    sizes = [len(s) for s in sentences]
+    out = np.zeros((k, v))
+    if not len(words):
+        return out
     starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    text_sizes = [sum(map(len, text)) for text in texts if text]
     text_starts = np.concatenate([[0], np.cumsum(text_sizes)[:-1]])
-    given = np.ascontiguousarray(phi.T[words])
+    given = np.ascontiguousarray(phi.T.astype(np.float32))[words]
     q = given / given.sum(1, keepdims=True)
     for _ in range(INNER):
         own = np.repeat(np.add.reduceat(q, starts, axis=0), sizes, axis=0)
-        all_ = np.add.reduceat(q, text_starts, axis=0)
-        all_ = np.repeat(all_ / all_.sum(1, keepdims=True), text_sizes, axis=0)
-        q = given * (own + TEXT_WEIGHT * all_ + ALPHA)
+        whole = np.add.reduceat(q, text_starts, axis=0)
+        whole *= TEXT_WEIGHT / whole.sum(1, keepdims=True)
+        own += np.repeat(whole + np.float32(ALPHA), text_sizes, axis=0)
+        q = given * own
         q /= q.sum(1, keepdims=True)
-    out = np.empty((k, v))
     for t in range(k):
         out[t] = np.bincount(words, weights=q[:, t], minlength=v)
     return out
@@ -207,21 +205,32 @@ def fit(documents: DataFrame, subjects: DataFrame, examples: DataFrame, *, round
         return Topics([], np.zeros((len(codes) + BACKGROUND, 0)), codes)
     topics, prior = start(vocabulary, np.array([r["n"] for r in rows], float), codes, terms, labelled)
     shape = prior.shape
+    index = topics.index
+
+    def code(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for text in batch["text"]:
+                coded = [k for s in sentences_of(text) if (k := [index[w] for w in s if w in index])]
+                if coded:
+                    out.append(([w for s in coded for w in s], [len(s) for s in coded]))
+            yield pd.DataFrame(out, columns=["words", "sizes"])
+
+    coded = scratch.save(texts.mapInPandas(code, "words array<int>, sizes array<int>"), "coded")
     for _ in range(rounds):
-        phi, index = topics.phi, topics.index
+        phi = topics.phi
 
-        def infer(batches: Iterator[pd.DataFrame], phi=phi, index=index) -> Iterator[pd.DataFrame]:
+        def infer(batches: Iterator[pd.DataFrame], phi=phi) -> Iterator[pd.DataFrame]:
             total = np.zeros(phi.shape)
             for batch in batches:
-                coded = []
-                for text in batch["text"]:
-                    coded.append([np.array(k) for s in sentences_of(text) if (k := [index[w] for w in s if w in index])])
-                total += expected_counts(coded, phi)
+                for at in range(0, len(batch), CHUNK):
+                    words, sizes = batch["words"].iloc[at : at + CHUNK], batch["sizes"].iloc[at : at + CHUNK]
+                    total += expected_counts(np.concatenate(words.to_list()), np.concatenate(sizes.to_list()), np.array([len(w) for w in words]), phi)
             yield pd.DataFrame({"topic": np.arange(len(total)), "counts": list(total)})
 
         # a row per topic and task, summed on the executors
         counts = np.zeros(shape)
-        for topic, row in _summed(texts.mapInPandas(infer, _ROWS)).items():
+        for topic, row in _summed(coded.mapInPandas(infer, _ROWS)).items():
             counts[topic] = row
         topics = Topics(vocabulary, counts + prior, codes)
     topics.map_subjects(terms)
