@@ -6,6 +6,7 @@ import atexit
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,8 +37,27 @@ def local_session(cpus: int = 8, app: str = "threadloom", **more: str) -> SparkS
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Make the package importable in Python workers, wherever the driver was started."""
+    context = spark.sparkContext
+    if getattr(context, "_threadloom_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="threadloom-package-")
+    archive = os.path.join(folder, "threadloom.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for base, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(base, name)
+                    out.write(path, os.path.join("threadloom", os.path.relpath(path, package)))
+    context.addPyFile(archive)  # the driver serves it to all executors
+    context._threadloom_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's Parquet tables."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
