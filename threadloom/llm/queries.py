@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.ids import normal_id
 from ..session import table
-from . import capping, history, leakage, markup, pii, subjects
+from . import capping, history, leakage, markup, mixing, packing, pii, subjects
 
 #: Key of the pseudonyms in the queries; a deployment passes its own.
 PSEUDONYM_KEY = "threadloom"
@@ -88,7 +88,32 @@ def p10_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy("subject_code").agg(F.count("*").alias("documents"), F.round(F.avg("share"), 4).alias("mean_share"))
 
 
+def _recorded_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    comments = table(spark, sf_dir, "comments").select(F.lit("comments").alias("table_name"), "rec_no", F.col("body").alias("text"))
+    posts = table(spark, sf_dir, "submissions").select(F.lit("submissions").alias("table_name"), "rec_no", F.col("selftext").alias("text"))
+    return comments.unionByName(posts)
+
+
+def p1_packs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_recorded_texts(spark, sf_dir), table(spark, sf_dir, "pack_limits"))
+
+
+def p1_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    limits = table(spark, sf_dir, "pack_limits")
+    return packing.pack_report(packing.pack(_recorded_texts(spark, sf_dir), limits), limits)
+
+
+def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))
+
+
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    targets = table(spark, sf_dir, "mix_targets")
+    return mixing.shares(mixing.mix(table(spark, sf_dir, "documents"), targets), targets)
+
+
 QUERIES = {
+    "p1_packs": p1_packs, "p1_report": p1_report, "p9_mix": p9_mix, "p9_shares": p9_shares,
     "p10_found": p10_found, "p10_composition": p10_composition,
     "p8_found": p8_found, "p8_items": p8_items,
     "p6_found": p6_found, "p6_last_batch": p6_last_batch,
