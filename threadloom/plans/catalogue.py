@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import records
+from . import forum, records
 
-FLAGSHIP = "p7_found"
-QUERIES = {**records.QUERIES}
-ORACLES = {**records.ORACLES}
+FLAGSHIP = "q01_thread_manifest"
+QUERIES = {**forum.QUERIES, **records.QUERIES}
+ORACLES = {**forum.ORACLES, **records.ORACLES}
