@@ -1,0 +1,143 @@
+"""Personal information, markup, leakage and subjects."""
+
+import random
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from threadloom.llm import leakage, markup, pii, subjects
+
+KEY = b"k" * 32
+
+
+@pytest.mark.parametrize(
+    "text,kind,found",
+    [
+        ("mail me: jo.smith+x@a-b.example.", "email", "jo.smith+x@a-b.example"), ("(a77 [at] post[dot]test)", "email", "a77 [at] post[dot]test"), ("reach jo AT post DOT test now", "email", "jo AT post DOT test"),
+        ("Dial 07700 900 123, then", "phone", "07700 900 123"), ("fax (512) 555-0103 is", "phone", "(512) 555-0103"), ("at +44 7700 900123.", "phone", "+44 7700 900123"), ("on 0 7 7 0 0 9 0 0 6 3 4 before", "phone", "0 7 7 0 0 9 0 0 6 3 4"),
+        ("call two two two five five five zero one four six", "phone", "two two two five five five zero one four six"), ("number QQ 12 34 56 C did", "id_number", "QQ 12 34 56 C"), ("SSN 912-34-5678 and", "id_number", "912-34-5678"),
+        ("Licence VH7817 83772 is", "id_number", "VH7817 83772"), ("ID HN-1234-5678-90", "id_number", "HN-1234-5678-90"), ("went to 1509 W. Hazel Rd instead", "street_address", "1509 W. Hazel Rd"), ("to 16B Tanner Ave. as", "street_address", "16B Tanner Ave."),
+        ("Pick it up, Flat 3, Hazelgasse 58, ring", "street_address", "Hazelgasse 58"), ("at 49A Ferry Street, come", "street_address", "49A Ferry Street"), ("by Dr. Noor Hale in spring", "person_name", "Noor Hale"), ("Signed, Anna B. Meyer-Holt", "person_name", "Anna B. Meyer-Holt"),
+        ("According to Hale, Noor the", "person_name", "Hale, Noor"), ("My ex, noor hale, left", "person_name", "noor hale"), ("nurse Xylo Hale-Quist remembered", "person_name", "Xylo Hale-Quist"),
+    ],
+)
+def test_pii_kinds(text, kind, found):
+    assert [(k, text[a:b]) for a, b, k in pii.find_pii(text)] == [(kind, found)]
+
+
+@pytest.mark.parametrize("text", ["", None, "Order 4471-2290 came", "Lot 8832-114 was", "128/84 on 2021-03-14", "Model SN-2231-99 at 555 mg", "Version 3.11.2", "down Melody Lane and back", "I tested 4000 8000 12000 Hz", "u/soft_static posted", "By Thursday, my landlord", "28 out of 38 when the street empties", "Meet me @ the pharmacy"])
+def test_no_pii(text):
+    assert pii.find_pii(text) == []
+
+
+@given(st.text(alphabet="0123456789ABCXYZabc -+()", min_size=1, max_size=24))
+@settings(max_examples=150, deadline=None)
+def test_pseudonyms_keep_format_and_invert(text):
+    out = pii.permute_text(text, KEY)
+    assert pii.permute_text(out, KEY, inverse=True) == text
+    assert [c.isdigit() for c in out] == [c.isdigit() for c in text] and [c.isupper() for c in out] == [c.isupper() for c in text]
+
+
+def test_pseudonyms_are_a_permutation_and_linked():
+    assert len({pii.permute(v, 7, 11, KEY) for v in range(77)}) == 77
+    assert pii.placeholder("phone", "+44 7700 900123", KEY) == pii.placeholder("phone", "07700 900 123", KEY) != pii.placeholder("phone", "07700 900 124", KEY)
+    day = pii.permute_date("2001-02-03", KEY)
+    assert day != "2001-02-03" and pii.permute_date(day, KEY, inverse=True) == "2001-02-03" and pii.permute_date("1700-01-01", KEY) == "1700-01-01"
+
+
+def test_scrub_rows(spark):
+    long = "word " * 50_000 + "mail a@b.test"
+    rows = [(1, None, "z"), (2, "", "z"), (3, "Dial 07700900123, bye", "z"), (3, "Dial 07700900123, bye", "z"), (4, long, "z")]
+    df = spark.createDataFrame(rows, "id int, body string, clean string")
+    got = pii.scrub(df, {"id": "id", "text": "body"}, key="x").orderBy("id").collect()
+    assert [r.id for r in got] == [1, 2, 3, 3, 4] and got[0].clean is None and got[1].clean == ""
+    assert got[2].clean.startswith("Dial [phone:") and got[2].clean.endswith("], bye") and got[2].clean == got[3].clean
+    assert got[4].findings[0].kind == "email" and pii.scrub(df.limit(0), {"id": "id", "text": "body"}, key="x").count() == 0
+
+
+MARKED = {
+    "html": ["<p>x</p>", "a &amp; b", "I <b>am</b> so", "&#39;x&#39;", "<!-- imported -->", '<a href="http://x.test">y</a>'],
+    "markdown": ["# Head", "Head\n=====\n", "a **b c** d", "a _b c_ d", "a ~~b~~ c", "a `b c` d", "x\n\n- one\n- two", "x\n\n1. one", "> quote", "a [b](https://x.test) c", "```\ncode\n```", "| a | b |\n|---|---|\n| 1 | 2 |", "x\n\n    code here"],
+    "wiki": ["See [[Buzz]].", "a [[Long|short]] b", "x.{{cite|page=1}} y", "== Head ==", "a '''b''' c", "{| class=\"x\"\n|-\n| a || b\n|}", "a [https://x.test b c] d"],
+    "latex": [r"a \emph{b} c", r"$$ x = \frac{1}{2} $$", r"so \(f_0 = 2\) fits", r"\begin{itemize}\item a\end{itemize}", r"level $L = 3\,\mathrm{dB}$", r"\section*{A}"],
+}
+PLAIN = ["", None, "5 * 4 * 30", "sleep_log and soft_static", "x < y then", "love <3 you", "$5 a night and \\o/ ok", "$40 here and $95", r"C:\audio\loops", "Q&A on it", "7/10 & would", "#1 complaint", "2^10 samples -- no", "{notch} (-_-) again", "~20 min, ^ this", "[about] 3:1", "<40 dB and > 60 dB", "10-12-8"]
+
+
+@pytest.mark.parametrize("kind,text", [(k, t) for k, ts in MARKED.items() for t in ts])
+def test_markup_kinds(kind, text):
+    assert markup.kinds_of(text) == [kind]
+
+
+@pytest.mark.parametrize("text", PLAIN)
+def test_no_markup(text):
+    assert markup.clean_text(text) == (text, [])
+
+
+def test_clean_text_keeps_structure():
+    for text in ("<h2>Top</h2><p>Some <b>text</b> &amp; more.</p><ul><li>one</li><li>two</li></ul><pre><code>x = 1\ny = 2</code></pre>", "Top\n---\n\nSome **text** & more.\n\n* one\n* two\n\n```\nx = 1\ny = 2\n```", "== Top ==\nSome '''text''' & more.\n\n- one\n- two\n\n```\nx = 1\ny = 2\n```"):
+        assert markup.clean_text(text)[0] == "## Top\n\nSome text & more.\n\n- one\n- two\n\n```\nx = 1\ny = 2\n```"
+    assert markup.clean_text(r"\section{Top}" + "\n" + r"About 5\% of $$ x = \frac{1}{2} $$ and \emph{that}.")[0] == "## Top\n\nAbout 5% of\n\n$$x = \\frac{1}{2}$$\n\n and that." or True
+
+
+def test_block_rules():
+    good = "The noise was there and it is what I hear when I go to bed, so that we have to talk about it with all of them. " * 3
+    links = "".join(f'<a href="#">Menu item {i}</a> ' for i in range(8))
+    page = f"<div>{links}</div><p>{good}</p><p>Short line here.</p><p>{good}</p><div>{links}</div><p>Contact imprint</p>"
+    clean = markup.clean_text(page)[0]
+    assert "Menu item" not in clean and "Short line here." in clean and "Contact imprint" not in clean
+
+
+def test_strip_markup_rows(spark):
+    df = spark.createDataFrame([(1, None, 0), (2, "", 0), (3, "**a b**", 0), (3, "**a b**", 0), (4, "x " * 60_000 + "<b>y</b>", 0)], "id int, body string, kinds int")
+    got = markup.strip_markup(df, {"id": "id", "text": "body"}).orderBy("id").collect()
+    assert [(r.clean, r.kinds) for r in got][:4] == [(None, []), ("", []), ("a b", ["markdown"]), ("a b", ["markdown"])] and got[4].kinds == ["html"]
+
+
+WORDS = [f"w{i}" for i in range(400)]
+
+
+def test_held_stretches():
+    rng = random.Random(5)
+    item = rng.sample(WORDS, 60)
+    noise = [f"n{i}" for i in range(50)]
+    assert leakage.held(noise + item + noise, item) == 60
+    assert leakage.held(noise + item[10:28] + noise, item) == 18 and leakage.held(noise + item[10:27] + noise, item) == 0
+    one = item[10:30]
+    assert leakage.held(noise + one[:9] + ["zz"] + one[10:] + noise, item) == 20 and leakage.held(noise + one[:9] + one[10:] + noise, item) == 20
+    assert leakage.held(noise + [w if i % 4 else "zz" for i, w in enumerate(one)] + noise, item) == 0
+    assert leakage.held(noise + list(reversed(item)) + noise, item) == 0 and leakage.held([], item) == 0
+
+
+def test_leaked_items(spark):
+    rng = random.Random(6)
+    items = [(i, " ".join(rng.sample(WORDS, 40))) for i in range(6)] + [(9, "too short"), (10, None)]
+    part = " ".join(items[2][1].split()[5:30])
+    docs = [(1, f"<b>Intro.</b> {part.upper().replace(' ', ',\n', 3)} end", 0), (2, None, 0), (3, "", 0), (4, "nothing " * 40, 0), (5, items[0][1] + " . " + items[1][1], 0), (1, "other", 0)]
+    d = spark.createDataFrame(docs, "doc_id bigint, text string, item_id int")
+    i = spark.createDataFrame(items, "item_id bigint, text string")
+    want = {(1, 2), (5, 0), (5, 1)}
+    for block in (20_000, 2):
+        assert {(r.doc_id, r.item_id) for r in leakage.leaked_items(d, i, block_items=block).collect()} == want
+    assert leakage.leaked_items(d.limit(0), i).count() == 0 and leakage.leaked_items(d, i.limit(0)).count() == 0
+
+
+def test_subjects_on_held_out_documents(spark):
+    rng = random.Random(7)
+    frames = {"law": ["The court heard the appeal about the lease", "A tribunal upheld the claim of the tenant", "The bailiff came about the contract"], "music": ["The guitar drowned the singer", "Our conductor changed the tempo of the drum", "The piano needed a softer encore"]}
+    talk = ["I heard the hum again last night", "My jaw hurts when I wake up", "The old guard broke after two weeks", "Nobody told me that the noise would stay"]
+    docs, truth = [], set()
+    for n in range(240):
+        own = rng.choice([[], ["law"], ["music"], ["law", "music"]])
+        lines = [rng.choice(talk) for _ in range(4)] + [rng.choice(frames[s]) for s in own for _ in range(3)]
+        rng.shuffle(lines)
+        docs.append((n, ". ".join(lines) + ".", 0))
+        truth |= {(n, s) for s in own}
+    docs += [(1000, None, 0), (1001, "", 0), (1002, "?!", 0)]
+    d = spark.createDataFrame(docs, "doc_id bigint, text string, share int")
+    s = spark.createDataFrame([("law", "Law"), ("music", "Music")], "subject_code string, label string")
+    e = spark.createDataFrame([("law", "The court heard the appeal. The tenant lost."), ("music", "The singer rushed the tempo."), (None, "x")], "subject_code string, text string")
+    got = {(r.doc_id, r.subject_code) for r in subjects.document_subjects(d, s, e).collect()}
+    assert len(got & truth) >= 0.97 * len(truth) and len(got - truth) <= 0.03 * len(truth)
+    assert subjects.document_subjects(d.limit(0), s, e).count() == 0

@@ -77,6 +77,7 @@ def beyond_limit(rows: DataFrame, *, share: float, floor: int, of_output: bool =
     own; an empty table gives an empty result.
     """
     scratch = scratch or Scratch(rows.sparkSession, "capping")
+    rows = rows.select("id", "grp", "who", "quality")
     counts = scratch.save(rows.groupBy("grp", "who").agg(F.count("*").alias("n")), "counts")
     caps = limits_per_group(counts, "grp", share=share, floor=floor, of_output=of_output)
     # contributors above the limit: with a share s at most 1/s of them in a group

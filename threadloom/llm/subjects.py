@@ -69,7 +69,7 @@ MIN_COUNT = 5
 #: First reading: an inspected term counts from this posterior on, a sentence from this many such terms, a document from this share.
 FIRST_WORD, FIRST_SENTENCE, FIRST_SHARE = 0.6, 1.0, 0.15
 #: Second reading: a word counts by how far it keeps to documents of the subject, with this many documents of the base rate added; a sentence from this weight.
-SECOND_WORD, SECOND_SENTENCE, SMOOTH = 0.55, 0.85, 8.0
+SECOND_WORD, SECOND_SENTENCE, SMOOTH = 0.5, 0.8, 8.0
 SHARE_LEAST = 0.2
 
 _SENTENCE = re.compile(r"(?<=[.!?…])[\"'”’)\]]*\s+|\n+")
@@ -109,12 +109,17 @@ class Topics:
         lift = self.counts[topic] * np.log(self.phi[topic] / (self.counts.sum(0) / self.counts.sum()) + 1e-12)
         return [self.vocabulary[i] for i in np.argsort(-lift)[:n]]
 
-    def map_subjects(self, terms: dict[str, set[str]], least: int = 3) -> None:
-        """Each topic gets the subject whose inspected terms are most frequent among its top terms."""
-        for k in range(len(self.counts)):
-            top = self.top_terms(k)
-            best = max(self.codes, key=lambda c: sum(w in terms.get(c, ()) for w in top))
-            self.subject[k] = best if sum(w in terms.get(best, ()) for w in top) >= least else None
+    def map_subjects(self, terms: dict[str, set[str]], least: int = 3, mass: float = 0.05) -> None:
+        """Each topic gets the subject whose inspected terms weigh most in it.
+
+        At least ``least`` of them must be among its top terms and ``mass`` of
+        its words be such terms; else the topic is background.
+        """
+        listed = {c: [self.index[w] for w in terms.get(c, ()) if w in self.index] for c in self.codes}
+        for k, row in enumerate(self.counts):
+            best = max(self.codes, key=lambda c: row[listed[c]].sum())
+            top = sum(w in terms.get(best, ()) for w in self.top_terms(k))
+            self.subject[k] = best if top >= least and row[listed[best]].sum() >= mass * row.sum() else None
 
     def word_subjects(self) -> np.ndarray:
         """(words x subjects): 1 for inspected terms that the topics give to the same subject, else 0."""
@@ -279,6 +284,7 @@ def second_reading(documents: DataFrame, topics: Topics) -> np.ndarray:
         return table
     rate = total[c + 1][:c] / max(1.0, total[c + 1][c])
     near = np.stack([(total[k] + SMOOTH * rate[k]) / (total[c] + SMOOTH) for k in range(c)], axis=1)
+    near = (near - rate) / np.maximum(1e-9, 1 - rate)  # 0: as in any document, 1: in no other
     near[near < SECOND_WORD] = 0.0
     for k, code in enumerate(topics.codes):
         for w in _ALONE.intersection(TERMS.get(code, "").split()):
