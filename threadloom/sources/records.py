@@ -88,5 +88,5 @@ def file_fingerprints(spark: SparkSession, *paths: str) -> DataFrame:
     """``path, sha256, bytes, lines`` (line feeds) of files."""
     files = spark.read.format("binaryFile").load(list(paths))
     content = F.col("content")
-    lines = F.length(content) - F.length(F.replace(F.decode(content, F.lit("ISO-8859-1")), F.lit("\n"), F.lit("")))
+    lines = F.length(content) - F.length(F.replace(F.decode(content, "ISO-8859-1"), F.lit("\n"), F.lit("")))
     return files.select("path", F.sha2("content", 256).alias("sha256"), F.col("length").alias("bytes"), lines.cast("bigint").alias("lines"))
