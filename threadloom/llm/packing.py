@@ -28,17 +28,24 @@ LOOK_AHEAD = 192
 #: An over-long text is cut at a blank within this last share of the capacity, else at the capacity.
 CUT_SEARCH = 0.01
 
-_vectors: dict[str, np.ndarray] = {}
+_places: dict[str, int] = {}
+_table = np.zeros((1 << 10, DIMENSIONS))
 
 
-def _vector(word: str) -> np.ndarray:
-    v = _vectors.get(word)
-    if v is None:
-        if len(_vectors) > 500_000:
-            _vectors.clear()
-        raw = hashlib.blake2b(word.encode(), digest_size=2 * DIMENSIONS).digest()
-        v = _vectors[word] = (np.frombuffer(raw, np.uint16) / 32767.5 - 1.0) * sqrt(3)
-    return v
+def _places_of(words: list[str]) -> list[int]:
+    """Rows of the words' hashed vectors in the worker's table, which is emptied when it gets large."""
+    global _table
+    if len(_places) > 500_000:
+        _places.clear()
+    for w in words:
+        if w not in _places:
+            n = len(_places)
+            if n == len(_table):
+                _table = np.concatenate([_table, np.zeros_like(_table)])
+            raw = hashlib.blake2b(w.encode(), digest_size=2 * DIMENSIONS).digest()
+            _table[n] = (np.frombuffer(raw, np.uint16) / 32767.5 - 1.0) * sqrt(3)
+            _places[w] = n
+    return [_places[w] for w in words]
 
 
 def hilbert_key(point: list[int], levels: int = LEVELS) -> int:
@@ -72,16 +79,16 @@ def hilbert_key(point: list[int], levels: int = LEVELS) -> int:
     return key
 
 
-def curve_key(text: str) -> int:
-    """Hilbert key of a text's projected word vector."""
-    words = words_of(text)
-    if not words:
-        return 0
-    total = np.zeros(DIMENSIONS)
-    for w in words:
-        total += _vector(w)
-    total /= sqrt(len(words))
-    return hilbert_key([min((1 << LEVELS) - 1, int((1 << LEVELS) * 0.5 * (1 + erf(x / sqrt(2))))) for x in total])
+def curve_keys(texts: list[str]) -> list[int]:
+    """Hilbert keys of the texts' projected word vectors."""
+    sums = np.zeros((len(texts), DIMENSIONS))
+    for n, text in enumerate(texts):
+        words = words_of(text)
+        if words:
+            places = _places_of(words)
+            sums[n] = _table[places].sum(0) / sqrt(len(words))
+    cells = [[min((1 << LEVELS) - 1, int((1 << LEVELS) * 0.5 * (1 + erf(x / sqrt(2))))) for x in row] for row in sums.tolist()]
+    return [hilbert_key(cell) for cell in cells]
 
 
 def pieces(text: str, capacity: int) -> list[tuple[int, int]]:
@@ -99,43 +106,42 @@ def pieces(text: str, capacity: int) -> list[tuple[int, int]]:
 
 
 class _Filler:
-    """Packs a stream of (size, item): yields (items, used) of each closed pack."""
+    """Packs a stream of (size, item): gives (items, used) of each closed pack."""
 
     def __init__(self, capacity: int, look_ahead: int):
         self.capacity, self.look_ahead = capacity, look_ahead
         self.waiting: list[tuple[int, int, object]] = []  # sorted by size
-        self.order: list[int] = []
-        self.gone: set[int] = set()
+        self.by_number: dict[int, tuple[int, int, object]] = {}
         self.count = 0
         self.front = 0
-        self.by_number: dict[int, tuple[int, int, object]] = {}
+        self.total = 0
 
     def push(self, size: int, item: object) -> list[tuple[list[object], int]]:
+        """Takes an item in; closes packs while more waits than the look-ahead and a full pack's worth."""
         entry = (size, self.count, item)
         insort(self.waiting, entry, key=lambda x: x[:2])
         self.by_number[self.count] = entry
         self.count += 1
-        return [self.close()] if len(self.waiting) > self.look_ahead and self.total() >= self.capacity else []
-
-    def total(self) -> int:
-        return sum(x[0] for x in self.waiting[-40:]) if len(self.waiting) > 40 else sum(x[0] for x in self.waiting)
+        self.total += size
+        return [self.close()] if len(self.waiting) > self.look_ahead and self.total >= self.capacity else []
 
-    def _take(self, entry: tuple[int, int, object]) -> None:
-        place = bisect_right(self.waiting, entry[:2], key=lambda x: x[:2]) - 1
-        del self.waiting[place]
+    def _take(self, place: int) -> tuple[int, int, object]:
+        entry = self.waiting.pop(place)
         del self.by_number[entry[1]]
+        self.total -= entry[0]
+        return entry
 
     def close(self) -> tuple[list[object], int]:
-        first = self.by_number[min(self.by_number)] if self.front not in self.by_number else self.by_number[self.front]
-        self.front = first[1] + 1
-        self._take(first)
+        while self.front not in self.by_number:
+            self.front += 1
+        first = self.by_number[self.front]
+        self._take(bisect_right(self.waiting, first[:2], key=lambda x: x[:2]) - 1)
         items, used = [first[2]], first[0]
         while self.waiting:
             place = bisect_right(self.waiting, self.capacity - used, key=lambda x: x[0]) - 1
             if place < 0:
                 break
-            entry = self.waiting[place]
-            self._take(entry)
+            entry = self._take(place)
             items.append(entry[2])
             used += entry[0]
         return items, used
@@ -158,8 +164,7 @@ def items_of(texts: DataFrame, limits: list[tuple[str, int]]) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for name, rec, text in zip(batch["table_name"], batch["rec_no"], batch["text"]):
-                curve = curve_key(text)
+            for name, rec, text, curve in zip(batch["table_name"], batch["rec_no"], batch["text"], curve_keys(batch["text"].to_list())):
                 tie = int.from_bytes(hashlib.blake2b(f"{name}|{rec}".encode(), digest_size=8).digest(), "little", signed=True)
                 for kind, capacity in limits:
                     out += [(kind, capacity, name, rec, n, a, size, curve, tie) for n, (a, size) in enumerate(pieces(text, capacity))]
