@@ -23,6 +23,11 @@ def unicode_regex(pattern: str) -> str:
     return "(?iU)" + pattern
 
 
+def matches(text: Column, pattern: str) -> Column:
+    """Whether the case-insensitive pattern occurs; texts of single-byte signs take the cheaper ASCII classes, which agree there."""
+    return F.when(F.octet_length(text) == F.length(text), text.rlike("(?i)" + pattern)).otherwise(text.rlike(unicode_regex(pattern)))
+
+
 def any_of(words: str) -> str:
     return unicode_regex(rf"\b({words})\b")
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import lexicon
-from ..functions.text import any_of, distinct_ci, hits, passages
+from ..functions.text import any_of, distinct_ci, hits, matches, passages
 
 
 def sources(submissions: DataFrame, comments: DataFrame) -> DataFrame:
@@ -27,7 +27,7 @@ def explode_passages(texts: DataFrame) -> DataFrame:
 
 
 def flags(text: Column, words: dict[str, str]) -> list[Column]:
-    return [text.rlike(any_of(w)).alias(f"has_{k}") for k, w in words.items()]
+    return [matches(text, rf"\b({w})\b").alias(f"has_{k}") for k, w in words.items()]
 
 
 def categories(categories_: dict[str, list[str]] = lexicon.CATEGORIES) -> Column:

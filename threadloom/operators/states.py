@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import lexicon
-from ..functions.text import collapse, unicode_regex
+from ..functions.text import collapse, matches, unicode_regex
 
 ADJACENT_WEIGHT = Decimal("0.35")
 MOST_TERMS = 8
@@ -30,7 +30,7 @@ def compiled(config: dict) -> dict:
 
 
 def _matches(text: Column, state: dict) -> Column:
-    return reduce(lambda a, b: a | b, [text.rlike(unicode_regex(p)) for p in state["patterns"]])
+    return matches(text, "(?:" + "|".join(f"(?:{p})" for p in state["patterns"]) + ")")
 
 
 def _weight(state: dict) -> Column:

@@ -14,28 +14,32 @@ def sibling_key(created: Column, id_: Column) -> Column:
     return F.concat(F.format_string("%020.6f", F.coalesce(created, F.lit(0.0))), F.lit("|"), id_)
 
 
-def nodes(comments: DataFrame, *, scratch: Scratch | None = None, spacing: int = SPACING) -> DataFrame:
+def nodes(comments: DataFrame, *, with_paths: bool = True, scratch: Scratch | None = None, spacing: int = SPACING) -> DataFrame:
     """Comments with depth, ancestry, number of children and reading order.
 
     A comment whose parent is not in its thread is a root (an orphaned one if
     it names a parent comment); comments on or below a loop are left out.
     ``sort_path`` is the list of sibling keys from the root; sorting a thread
-    by it gives depth-first pre-order.  No nested thread is built here, so a
+    by it gives depth-first pre-order.  Without paths there is no ancestry and
+    no order, which is enough for statistics and much cheaper.  No nested thread is built here, so a
     thread may be of any size.
     """
     scratch = scratch or Scratch(comments.sparkSession, "threads")
     keyed = comments.withColumn("node", F.concat(F.col("link_id"), F.lit("\u0001"), sibling_key(F.col("created_utc"), F.col("id"))))
     known = keyed.select(F.col("link_id"), F.col("id").alias("parent_comment_id"), F.col("node").alias("parent"))
     joined = scratch.save(keyed.join(known, ["link_id", "parent_comment_id"], "left"), "joined")
-    tree = resolve_known(joined.select("node", "parent"), spacing=spacing, with_paths=True, scratch=scratch)
+    tree = resolve_known(joined.select("node", "parent"), spacing=spacing, with_paths=with_paths, scratch=scratch)
     children = joined.where("parent is not null").groupBy(F.col("parent").alias("node")).agg(F.count("*").cast("int").alias("children_count"))
-    flat = joined.join(tree.where("path is not null"), "node").join(children, "node", "left")
-    steps = F.transform("path", lambda x: F.substring_index(x, "\u0001", -1))
-    return flat.select(
-        *[c for c in comments.columns], F.col("depth").cast("int").alias("depth"), F.coalesce("children_count", F.lit(0)).alias("children_count"),
-        F.transform(F.slice(steps, 1, F.size("path") - 1), lambda x: F.substring(x, 22, 1 << 30)).alias("ancestry_comment_ids"),
-        F.when(F.col("parent").isNull(), F.col("parent_comment_id")).alias("orphaned_parent_comment_id"), steps.alias("sort_path"),
+    flat = joined.join(tree.where("depth >= 0"), "node").join(children, "node", "left")
+    plain = flat.select(
+        *comments.columns, F.col("depth").cast("int").alias("depth"), F.coalesce("children_count", F.lit(0)).alias("children_count"),
+        F.when(F.col("parent").isNull(), F.col("parent_comment_id")).alias("orphaned_parent_comment_id"), *(["path"] if with_paths else []),
     )
+    if not with_paths:
+        return plain
+    steps = F.transform("path", lambda x: F.substring_index(x, "\u0001", -1))
+    ancestry = F.transform(F.slice(steps, 1, F.size("path") - 1), lambda x: F.substring(x, 22, 1 << 30))
+    return plain.withColumns({"ancestry_comment_ids": ancestry, "sort_path": steps}).drop("path")
 
 
 def thread_stats(flat: DataFrame) -> DataFrame:

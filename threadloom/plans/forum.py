@@ -19,8 +19,8 @@ def _replies(spark: SparkSession, d: str) -> DataFrame:
     return corpus.dedupe_comments(corpus.comments_from_table(table(spark, d, "comments")))
 
 
-def _nodes(spark: SparkSession, d: str) -> DataFrame:
-    return threads.nodes(_replies(spark, d))
+def _nodes(spark: SparkSession, d: str, with_paths: bool = True) -> DataFrame:
+    return threads.nodes(_replies(spark, d).drop("body"), with_paths=False) if not with_paths else threads.nodes(_replies(spark, d))
 
 
 def _sources(spark: SparkSession, d: str) -> DataFrame:
@@ -28,7 +28,7 @@ def _sources(spark: SparkSession, d: str) -> DataFrame:
 
 
 def thread_manifest(spark: SparkSession, d: str) -> DataFrame:
-    out = threads.manifest(_posts(spark, d), threads.thread_stats(_nodes(spark, d)))
+    out = threads.manifest(_posts(spark, d), threads.thread_stats(_nodes(spark, d, with_paths=False)))
     return out.orderBy(F.coalesce("created_utc", F.lit(0.0)), "submission_id")
 
 
@@ -38,7 +38,7 @@ def tree_nodes(spark: SparkSession, d: str) -> DataFrame:
 
 
 def thread_stats(spark: SparkSession, d: str) -> DataFrame:
-    return threads.thread_stats(_nodes(spark, d))
+    return threads.thread_stats(_nodes(spark, d, with_paths=False))
 
 
 def comment_lines(spark: SparkSession, d: str) -> DataFrame:
