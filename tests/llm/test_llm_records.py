@@ -150,6 +150,20 @@ def test_hot_group_of_near_copies(spark):
     assert got == {k: 1 for k in range(2, 401)}
 
 
+def test_changes_scattered_to_the_edge_of_the_rule(spark):
+    rng = random.Random(8)
+    rows = []
+    for k in range(300):
+        n = rng.choice([40, 60, 100])
+        text = [f"w{rng.randrange(10**6)}" for _ in range(n)]
+        copy = [w if i % 5 else f"x{k}n{i}" for i, w in enumerate(text)]  # every fifth word replaced
+        rows += [(2 * k + 1, f"a{k}", 0, " ".join(text)), (2 * k + 2, f"b{k}", 0, " ".join(copy))]
+    df = spark.createDataFrame(rows, "rec_no bigint, id string, batch_no int, body string")
+    got = {r.dup_rec_no: r.first_rec_no for r in history.duplicates_of(df, "body").collect()}
+    assert all(b - a == 1 and b % 2 == 0 for b, a in got.items())
+    assert len(got) >= 0.97 * 300
+
+
 def test_quotas():
     have, target, repeats = {"a": 1000, "b": 10, "c": 50}, {"a": 0.5, "b": 0.2, "c": 0.2, "none": 0.1}, {"a": 1, "b": 4, "c": 1}
     exact = mixing.solve_quotas(have, target, repeats)
