@@ -190,6 +190,19 @@ def test_hot_group_whose_members_match_through_other_groups(spark):
     assert got[60] == 20
 
 
+def test_index_reopened_by_another_driver(spark):
+    rows = corpus(random.Random(10), 120)
+    df = history.batch_rows(spark.createDataFrame(rows, "rec_no bigint, id string, batch_no int, body string"), "body")
+    scratch = Scratch(spark, "test")
+    for low in (0, 45):
+        history.HistoryIndex(spark, f"{scratch.root}/index").add(history.Prepared(df.where(f"rec_no > {low} and rec_no <= {low + 45}"), Scratch(spark, "part")))
+    index = history.HistoryIndex(spark, f"{scratch.root}/index")
+    assert len(index.runs) == 2
+    got = {r.dup_rec_no: r.first_rec_no for r in history.duplicates(history.Prepared(df.where("rec_no > 90"), scratch), scratch, index).collect()}
+    want = {k: v for k, v in brute(rows).items() if k > 90}
+    assert set(got) <= set(want) and len([k for k in want if got.get(k) == want[k]]) >= 0.95 * len(want)
+
+
 def test_quotas():
     have, target, repeats = {"a": 1000, "b": 10, "c": 50}, {"a": 0.5, "b": 0.2, "c": 0.2, "none": 0.1}, {"a": 1, "b": 4, "c": 1}
     exact = mixing.solve_quotas(have, target, repeats)

@@ -66,6 +66,11 @@ def p6_last_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.duplicates_in_batch(comments, "body", newest if newest is not None else 0)
 
 
+def p6_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All batches of comments, one after the other through the index."""
+    return history.duplicates_by_batch(table(spark, sf_dir, "comments"), "body")
+
+
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = leakage.leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
     return found.select("doc_id", "item_id")
@@ -116,7 +121,7 @@ QUERIES = {
     "p1_packs": p1_packs, "p1_report": p1_report, "p9_mix": p9_mix, "p9_shares": p9_shares,
     "p10_found": p10_found, "p10_composition": p10_composition,
     "p8_found": p8_found, "p8_items": p8_items,
-    "p6_found": p6_found, "p6_last_batch": p6_last_batch,
+    "p6_found": p6_found, "p6_last_batch": p6_last_batch, "p6_batches": p6_batches,
     "p3_found": p3_found, "p3_output_share": p3_output_share, "p4_found": p4_found, "p4_clean": p4_clean, "p5_found": p5_found, "p5_clean": p5_clean,
 }
 
