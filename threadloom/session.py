@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import os
 import tempfile
 import uuid
@@ -75,6 +76,12 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def release(spark: SparkSession) -> None:
+    """Give up shuffle files of finished jobs now; they stay until the driver collects its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 class Scratch:
     """Written tables that cut lineage and survive the loss of executors.
 
@@ -102,6 +109,10 @@ class Scratch:
             self._delete(old)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def path(self, name: str) -> str:
+        """Where the table of that name is written."""
+        return self._paths[name]
+
     def drop(self, *names: str) -> None:
         for name in names:
             path = self._paths.pop(name, None)
