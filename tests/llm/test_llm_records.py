@@ -170,21 +170,18 @@ def test_hot_group_whose_members_match_through_other_groups(spark):
     texts = [[f"w{k}n{i}" for i in range(40)] for k in range(60)]
     texts[19] = texts[59][:35] + ["a"] * 5  # the last one's first match, at place 20 of the hot group
     texts[49] = texts[59][:35] + ["b"] * 5  # a later match, also in a group of two
-    classes = []
-    for k, words in enumerate(texts):
-        sigs = [rng.randrange(2**60) for _ in range(history.TREES)]
+    entries = []
+    for k in range(60):
+        sigs = [(tree << 56) + rng.randrange(1 << 48) for tree in range(history.TREES)]
         sigs[0] = 77
         if k in (49, 59):
-            sigs[1] = 55
-        classes.append((bytes([k]), k + 1, 40, sigs, [0] * 3))
+            sigs[1] = (1 << 56) + 55
+        entries += [(sig, k + 1, 40, *[0] * 6) for sig in sigs]
     frame = spark.createDataFrame
 
     batch = types.SimpleNamespace(
-        rows=frame([(k + 1, f"i{k}", bytes([k])) for k in range(60)], "rec_no bigint, id string, digest binary"),
-        ids=frame([(f"i{k}", k + 1) for k in range(60)], "id string, first bigint"),
-        folded=frame([(bytes([k]), k + 1) for k in range(60)], "digest binary, rep bigint"),
-        classes=frame(classes, "digest binary, rep bigint, n_words int, sigs array<bigint>, sketch array<bigint>"),
-        texts=frame([(k + 1, " ".join(t)) for k, t in enumerate(texts)], "rec_no bigint, text string"),
+        rows=frame([(k + 1, f"i{k}", bytes([k]), " ".join(t)) for k, t in enumerate(texts)], "rec_no bigint, id string, digest binary, text string"),
+        entries=frame(entries, history._ENTRY),
     )
     got = {r.dup_rec_no: r.first_rec_no for r in history.duplicates(batch, Scratch(spark, "test")).collect()}
     assert got[60] == 20

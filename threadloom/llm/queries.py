@@ -52,11 +52,8 @@ def p5_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = [
-        history.duplicates_of(table(spark, sf_dir, name), text).select(F.lit(name).alias("table_name"), "first_rec_no", "dup_rec_no")
-        for name, text in (("comments", "body"), ("submissions", "selftext"))
-    ]
-    return parts[0].unionByName(parts[1])
+    """Every batch of both tables, one after the other through one index."""
+    return history.duplicates_in_tables({"comments": (table(spark, sf_dir, "comments"), "body"), "submissions": (table(spark, sf_dir, "submissions"), "selftext")})
 
 
 def p6_last_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
