@@ -176,7 +176,7 @@ def test_hot_group_whose_members_match_through_other_groups(spark):
         sigs[0] = 77
         if k in (49, 59):
             sigs[1] = (1 << 56) + 55
-        entries += [(sig, k + 1, 40, *[0] * 6) for sig in sigs]
+        entries += [(sig, k + 1, 40, 0, 0, None) for sig in sigs]
     frame = spark.createDataFrame
 
     batch = types.SimpleNamespace(

@@ -35,7 +35,7 @@ def p3_output_share(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.scrub(_texts(spark, sf_dir).where("record_id is not null and text is not null"), _COLUMNS, key=PSEUDONYM_KEY)
     rows = found.where(F.size("findings") > 0).select("table_name", "record_id", F.explode("findings").alias("f"))
-    return rows.select("table_name", "record_id", F.col("f.kind").alias("pii_kind"), F.col("f.text").alias("pii_text")).distinct()
+    return rows.select("table_name", "record_id", F.col("f.kind").alias("pii_kind"), F.col("f.text").alias("pii_text")).where(F.col("pii_kind").isin(*pii.KINDS)).distinct()
 
 
 def p4_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,7 +52,7 @@ def p5_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every batch of both tables, one after the other through one index."""
+    """The batches of both tables through one index, in loads no larger than what it holds."""
     return history.duplicates_in_tables({"comments": (table(spark, sf_dir, "comments"), "body"), "submissions": (table(spark, sf_dir, "submissions"), "selftext")})
 
 

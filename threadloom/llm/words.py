@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
+#: Above so many words, common words are counted before they are put in order.
+COUNTED = 120
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -27,12 +29,19 @@ def common_in_order(a: list[str], b: list[str]) -> int:
     return len(a) - free.bit_count()
 
 
-def near_same(a: list[str], b: list[str], share: float) -> bool:
-    """Whether ``share`` of the longer one's words stand in the other in the same order."""
+def near_same(a: list[str], b: list[str], share: float, counts: tuple[Counter, Counter] | None = None) -> bool:
+    """Whether ``share`` of the longer one's words stand in the other in the same order.
+
+    ``counts`` are those of their words, where they are at hand.
+    """
+    if len(b) < share * len(a) - 1e-9 or len(a) < share * len(b) - 1e-9:
+        return False
+    if max(len(a), len(b)) > COUNTED:  # common words in any order are quickly counted
+        one, other = counts or (Counter(a), Counter(b))
+        if sum(min(n, other[w]) for w, n in one.items() if w in other) < share * max(len(a), len(b)) - 1e-9:
+            return False
     if len(a) < len(b):
         a, b = b, a
-    if len(b) < share * len(a) - 1e-9:
-        return False
     # ends that agree need no table
     head = 0
     while head < len(b) and a[head] == b[head]:
