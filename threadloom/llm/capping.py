@@ -11,61 +11,55 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.ids import contributor, first_rows, normal_id
 from ..session import Scratch
 
 
 def water_level(histogram: list[tuple[int, int]], share: float, floor: int = 0, free: int = 0) -> int:
-    """Largest limit L with L <= max(floor, share * (free + sum of min(count, L))).
+    """Largest limit L with L <= max(floor, share * (free + sum of min(count, L))), no larger than the largest count.
 
     ``histogram``: (count, number of contributors with that count), ``free``:
-    records without a contributor, which are never capped.  Filling starts at
-    the largest count and lowers the level: with k contributors above it the
-    output is rest + k*L, so L = share * rest / (1 - share*k) as long as that
-    is consistent with the next smaller count.
+    records without a contributor, which are never capped.  This is the fill of
+    one group as a plain function; ``limits_per_group`` fills all at once.
     """
-    above, inside = 0, free + sum(c * n for c, n in histogram)
-    level = max([c for c, _ in histogram], default=0)
-    for count, n in sorted(histogram, reverse=True):
-        if count <= max(floor, share * inside + 1e-9):
-            return max(floor, level)
-        above, inside = above + n, inside
-        rest = free + sum(c * m for c, m in histogram if c < count)
-        smaller = max([c for c, _ in histogram if c < count], default=0)
-        if share * above >= 1:
-            level = max(smaller, floor)  # so many equals can only be cut further down
-        else:
-            level = int(share * rest / (1 - share * above) + 1e-9)
-            if level >= smaller:
-                return max(floor, level)
-            level = smaller
-        inside = rest + above * level
+    level = filled = 0
+    above = sum(n for _, n in histogram)
+    for count, n in [*sorted(histogram), (None, 0)]:
+        # between two counts the output is what lies below plus the level for each contributor above
+        reach = count if share * above >= 1 or count is None else int(share * (free + filled) / (1 - share * above) + 1e-9)
+        if count is None or reach < count:
+            return max(floor, level if count is None else max(level, reach))
+        level, above, filled = count, above - n, filled + count * n
     return max(floor, level)
 
 
 def limits_per_group(counts: DataFrame, group: str, *, share: float, floor: int, of_output: bool) -> DataFrame:
     """``group, cap`` from ``group, who, n`` (``who`` null: records without a contributor).
 
-    A share of the input is rounded down.  A share of the output needs only
-    the histogram of counts of each group, which is far smaller than the list
-    of contributors (its values are distinct counts) and is filled per group.
+    Water is filled over the sorted distinct counts of each group: below a
+    level L the output has what smaller contributors give (a running sum) plus
+    L for each larger one, and the level rises while it stays within its share
+    of that.  With a share of the input the size filled against is that of the
+    input at every level.  A group's distinct counts are at most about the
+    square root of twice its rows, so its window is small.
     """
+    histogram = counts.where("who is not null").groupBy(group, F.col("n").alias("c")).agg(F.count("*").alias("m"))
+    sizes = counts.groupBy(group).agg(F.sum("n").alias("all"), F.sum(F.when(F.col("who").isNull(), F.col("n")).otherwise(0)).alias("free"), F.count("who").alias("many"))
+    # a row at level 0 begins each group's levels
+    levels = histogram.unionByName(sizes.select(group, F.lit(0).cast("bigint").alias("c"), F.lit(0).cast("bigint").alias("m")))
+    levels = levels.alias("a").join(sizes.alias("b"), F.col(f"a.{group}").eqNullSafe(F.col(f"b.{group}"))).select(f"a.{group}", "c", "m", "all", "free", "many")
+    upto = Window.partitionBy(group).orderBy("c").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    below, above = F.col("free") + F.sum(F.col("c") * F.col("m")).over(upto), F.col("many") - F.sum("m").over(upto)
     if not of_output:
-        return counts.groupBy(group).agg(F.greatest(F.lit(floor).cast("long"), F.floor(F.sum("n") * F.lit(share) + F.lit(1e-9)).cast("long")).alias("cap"))
-    histogram = (
-        counts.groupBy(group, F.when(F.col("who").isNotNull(), F.col("n")).alias("c"))
-        .agg(F.count("*").alias("m"), F.sum("n").alias("s"))
-        .groupBy(group)
-        .agg(F.collect_list(F.when(F.col("c").isNotNull(), F.struct("c", "m"))).alias("h"), F.sum(F.when(F.col("c").isNull(), F.col("s")).otherwise(0)).alias("free"))
-    )
-
-    @F.udf(T.LongType())
-    def fill(h, free):
-        return water_level([(r["c"], r["m"]) for r in h or []], share, floor, free or 0)
-
-    return histogram.select(group, fill("h", "free").alias("cap"))
+        below, above = F.col("all"), F.lit(0)
+    levels = levels.withColumn("below", below).withColumn("above", above).withColumn("next", F.lead("c").over(Window.partitionBy(group).orderBy("c")))
+    within = F.col("c") <= F.lit(share) * (F.col("below") + F.col("c") * F.col("above")) + F.lit(1e-9)
+    # where larger contributors fill up as fast as the level, the next count is within as well
+    reach = F.floor(F.try_divide(F.lit(share) * F.col("below"), F.greatest(F.lit(0.0), 1 - F.lit(share) * F.col("above"))) + F.lit(1e-9))
+    level = F.when(F.col("next").isNull(), F.col("c")).otherwise(F.least("next", F.greatest(F.col("c"), reach)))
+    reached = levels.where(within).groupBy(group).agg(F.max_by(level, "c").alias("level"))
+    return reached.select(group, F.greatest(F.lit(floor).cast("bigint"), F.col("level").cast("bigint")).alias("cap"))
 
 
 def beyond_limit(rows: DataFrame, *, share: float, floor: int, of_output: bool = False, scratch: Scratch | None = None) -> DataFrame:
