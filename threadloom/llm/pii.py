@@ -2,14 +2,17 @@
 
 Candidates of each kind come from patterns and are validated (digit counts,
 number plans, name shape).  Numbers are replaced by format-preserving
-pseudonyms: a keyed Feistel network permutes the digits (and letters) of the
-number's canonical form, so equal values stay linked across documents however
-they are written, while the length and the kind of each character stay.
-E-mail addresses, street addresses and names become typed placeholders.
+pseudonyms: a keyed Feistel network permutes the number's canonical form inside
+its format, so equal values stay linked across documents however they are
+written.  A phone number keeps its plan and area and gets another subscriber
+number of that plan, a birth date another date in the same notation, an
+identity number other digits and letters in the same places.  E-mail addresses,
+street addresses and names become typed placeholders.
 """
 
 from __future__ import annotations
 
+import datetime
 import hashlib
 import re
 from collections.abc import Iterator
@@ -21,6 +24,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 KINDS = ("email", "phone", "id_number", "street_address", "person_name")
+#: Found and replaced as well, but no finding of its own where only ``KINDS`` are asked for.
+BIRTH_DATE = "birth_date"
 
 # Given names that make a name of the word beside them.
 GIVEN_NAMES = """
@@ -59,6 +64,12 @@ NO_NAMES = set(
     hi hey ps pps tl dr clinic hospital practice surgery centre center university institute pharmacy shop store group forum""".split()
 )
 
+# Family names that are also words of prose; in capitals beside a given name they are names.
+WORD_NAMES = set("may day long little small young last love look such good wells notes best still".split())
+
+# Words before a number that show that it is not a person's.
+NO_ID_WORDS = set("model invoice order lot serial part item ticket tracking sku batch case receipt article version catalogue".split())
+
 #: Words that stand right before a person's name whatever the given name is.
 NAME_CUES = r"(?:\b(?:Dr|Mr|Mrs|Ms|Prof)\.?|\b[Nn]urse|\b[Ss]igned,|\b[Yy]ours,|\b[Rr]egards,|\b[Nn]eighbour|\b[Mm]y ex,|\b[Aa]ccording to|\b[Aa]ddressed to|\b[Aa]udiologist|\b[Aa]sk for|\b[Rr]oom with)"
 
@@ -67,6 +78,11 @@ _FAMILY = rf"{_WORD}(?:-{_WORD})?"
 _AFTER = re.compile(rf"(?:[ \u00a0]+[A-Za-z]\.)?[ \u00a0]+({_FAMILY})")
 _BEFORE = re.compile(rf"(?<![\w@.])({_FAMILY}),[ \u00a0]+\Z")
 _TITLE = r"[A-ZÀ-Ö][a-zß-ÿ]+"
+# Names without a known given name: two capitalised words that a verb of speech follows or a word for a person precedes.
+_NAMED = rf"{_TITLE} (?:[A-Z]\. )?{_TITLE}(?:-{_TITLE})?"
+_SPEAKS = re.compile(rf"(?<![\w.@/-])({_NAMED})(?= (?:and {_NAMED} )?(?:said|says|told|wrote|writes|asked|replied|explained)\b)")
+_PERSON = re.compile(rf"\b(?:friend|colleague|wife|husband|sister|brother|boss|cousin|uncle|aunt|mother|father|daughter|son|met|named|dentist|doctor|therapist|surgeon|physio),? ({_NAMED})\b(?!')")
+_AND_NAME = re.compile(rf" and ({_NAMED})\b")
 _INITIAL = re.compile(rf"(?<![\w.@\d])(?<!\d )(?:[A-Z]\.[ \u00a0]?){{1,2}}[ \u00a0]?({_TITLE}(?:-{_TITLE})?)\b")
 _CUED = re.compile(rf"{NAME_CUES}[ \u00a0]+({_TITLE}(?:[ \u00a0]+[A-Z]\.)?[ \u00a0]+{_TITLE}(?:-{_TITLE})?|{_TITLE}(?:-{_TITLE})?,[ \u00a0]+{_TITLE})\b")
 _CUE_WORDS = ("Dr", "Mr", "Ms", "Prof", "urse", "igned,", "ours,", "egards,", "eighbour", "y ex,", "ccording to", "ddressed to", "udiologist", "sk for", "oom with")
@@ -98,16 +114,25 @@ _ID_CUE = re.compile(
     r"[ ,:#]*(?:is|was|no\.?)?[ ,:#]*((?=[A-Z0-9 -]*\d{3})[A-Z0-9](?:[A-Z0-9]|-(?=[A-Z0-9])|[ ](?=\d)){5,16})\b",
     re.I,
 )
+_ID_CUES = ("ssn", "social", "insurance n", "national id", "licen", "passport", "member", "patient", "ni number", "health card")
 _ADDRESS = re.compile(
     rf"(?<![\w.,/-])\d{{1,5}}[A-Za-z]?[ \u00a0](?:[NSEWnsew]\.?[ \u00a0])?(?:{_WORD}[ \u00a0]){{1,3}}?(?:(?:{'|'.join(STREET_TYPES)})\b\.?)", re.I
 )
 _ADDRESS_END = re.compile(rf"\b[A-ZÄÖÜ]?[A-Za-zäöüß]+(?:{'|'.join(STREET_ENDINGS)})[ \u00a0]\d{{1,4}}[A-Za-z]?\b", re.I)
 _ABBREVIATED = {"st", "ave", "rd", "dr", "ln", "ct", "cres", "ter", "pl", "sq", "blvd"}
 _DIGIT = re.compile(r"\d")
+_MONTHS = "january february march april may june july august september october november december".split()
+_BIRTH = re.compile(
+    r"\b(?:born(?: on)?|d\.?o\.?b\.?|date of birth|birth ?dates?|birthday)(?:[ :,]+(?:is|was|on))?[ :,]*"
+    rf"((\d{{4}})-(\d\d)-(\d\d)|(\d{{1,2}})([/.])(\d{{1,2}})\6(\d{{4}})|(\d{{1,2}}) ({'|'.join(_MONTHS)}) (\d{{4}}))\b",
+    re.I,
+)
+_BIRTH_CUES = ("born", "birth", "dob", "d.o.b")
 #: Cheap tests that every hit of the patterns above passes; most texts fail them all.
 _NUMBERED = re.compile(r"\d(?:[ \u00a0().\-/]{0,3}\d){5}")
 _STREETS = re.compile(r"\d[A-Za-z]?[ \u00a0](?:[NSEWnsew]\.?[ \u00a0])?[A-Za-zÀ-ÿ'’]+[ \u00a0](?:[A-Za-zÀ-ÿ'’]+[ \u00a0]){0,2}(?:[SsAaRrDdLlCcTtPpBbHhGgMmWw])")
 _STREETS_END = re.compile(rf"(?:{'|'.join(STREET_ENDINGS)})[ \u00a0]\d")
+_CAPITALS = re.compile(r"\b[A-ZÀ-Ö][a-zß-ÿ]+ (?:[A-Z]\. )?[A-ZÀ-Ö][a-zß-ÿ]+")
 _INITIALED = re.compile(r"\b[A-Z]\.[ \u00a0]?[A-ZÀ-Ö]")
 #: Small words and measures that show that "number word(s) street type" is prose.
 _PROSE = set("out of the in and to a my for with as at on when while near hz percent minutes shows needs sessions weeks nights days months mornings evenings tries shifts hours".split())
@@ -160,6 +185,8 @@ def find_pii(text: str | None) -> list[tuple[int, int, str]]:
 
     # addresses of machines first, then numbers, then streets, then names
     lowered = text.lower()
+    if len(lowered) != len(text):  # a sign that grows when lowered stays as it is
+        lowered = "".join(c if len(c.lower()) > 1 else c.lower() for c in text)
     if "@" in text or ((_DOTTED.search(text)) and re.search(r"\bat\b", text, re.I)):
         for m in _EMAIL.finditer(text):
             hit = m[0]
@@ -169,7 +196,8 @@ def find_pii(text: str | None) -> list[tuple[int, int, str]]:
     if _DIGIT.search(text):
         if _NUMBERED.search(text):
             for m in _ID.finditer(text):
-                if not taken(*m.span()):
+                before = text[max(0, m.start() - 14) : m.start()].lower().split()
+                if not taken(*m.span()) and not (before and before[-1].strip(":#.,") in NO_ID_WORDS):
                     found.append((*m.span(), "id_number"))
             for m in _RUN.finditer(text):
                 a, b = m.span()
@@ -179,9 +207,14 @@ def find_pii(text: str | None) -> list[tuple[int, int, str]]:
                     raw = text[a:b]
                 if not taken(a, b) and _phone("".join(_DIGIT.findall(raw)), raw):
                     found.append((a, b, "phone"))
+        if any(cue in lowered for cue in _ID_CUES):
             for m in _ID_CUE.finditer(text):
                 if not taken(*m.span(1)):
                     found.append((*m.span(1), "id_number"))
+        if any(cue in lowered for cue in _BIRTH_CUES):
+            for m in _BIRTH.finditer(text):
+                if not taken(*m.span(1)) and _date_of(m[1]):
+                    found.append((*m.span(1), BIRTH_DATE))
         for m in _ADDRESS.finditer(text) if _STREETS.search(text) else ():
             a, b = m.span()
             words = re.findall(r"[^\W\d_]+", m[0].lower().split(None, 1)[1])
@@ -198,28 +231,27 @@ def find_pii(text: str | None) -> list[tuple[int, int, str]]:
             digits = canonical("phone", m[0])
             if not taken(*m.span()) and _phone(digits, digits):
                 found.append((*m.span(), "phone"))
-    if len(lowered) == len(text):
-        spans = []
-        for end, size in _NAMES.iter(lowered):
-            a, b = end - size + 1, end + 1
-            if (a and (lowered[a - 1].isalnum() or lowered[a - 1] in "_@/-'’")) or (b < len(text) and (lowered[b].isalnum() or lowered[b] in "_@-'’")):
-                continue
-            spans.append((a, b))
-        spans.sort()
-        for a, b in spans:
-            if taken(a, b):
+    spans = []
+    for end, size in _NAMES.iter(lowered):
+        a, b = end - size + 1, end + 1
+        if (a and (lowered[a - 1].isalnum() or lowered[a - 1] in "_@/-'’")) or (b < len(text) and (lowered[b].isalnum() or lowered[b] in "_@-'’")):
+            continue
+        spans.append((a, b))
+    spans.sort()
+    for a, b in spans:
+        if taken(a, b):
+            continue
+        given = text[a:b]
+        style = _style(given)
+        m = _AFTER.match(text, b)
+        if m:
+            family = m[1]
+            if (family.lower() not in NO_NAMES or style == "t" and family.lower() in WORD_NAMES) and _style(family) == style and len(family) > 1 and not taken(*m.span()):
+                found.append((a, m.end(), "person_name"))
                 continue
-            given = text[a:b]
-            style = _style(given)
-            m = _AFTER.match(text, b)
-            if m:
-                family = m[1]
-                if family.lower() not in NO_NAMES and _style(family) == style and len(family) > 1 and not taken(*m.span()):
-                    found.append((a, m.end(), "person_name"))
-                    continue
-            m = _BEFORE.search(text, max(0, a - 60), a)
-            if m and m[1].lower() not in NO_NAMES and _style(m[1]) == style and not taken(*m.span(1)):
-                found.append((m.start(1), b, "person_name"))
+        m = _BEFORE.search(text, max(0, a - 60), a)
+        if m and m[1].lower() not in NO_NAMES and _style(m[1]) == style and not taken(*m.span(1)):
+            found.append((m.start(1), b, "person_name"))
     if _INITIALED.search(text):
         for m in _INITIAL.finditer(text):
             if m[1].lower() not in NO_NAMES and len(m[1]) > 3 and not taken(*m.span()):
@@ -229,9 +261,50 @@ def find_pii(text: str | None) -> list[tuple[int, int, str]]:
             words = re.findall(_WORD, m[1].lower())
             if not any(w in NO_NAMES for w in words) and not taken(*m.span(1)):
                 found.append((*m.span(1), "person_name"))
+    for pattern in (_SPEAKS, _PERSON) if _CAPITALS.search(text) else ():
+        for m in pattern.finditer(text):
+            spans = [m.span(1)]
+            if (more := _AND_NAME.match(text, m.end(1))) is not None:
+                spans.append(more.span(1))
+            for a, b in spans:
+                words = re.findall(_WORD, text[a:b].lower())
+                if not any(w in NO_NAMES for w in words) and not taken(a, b):
+                    found.append((a, b, "person_name"))
     return sorted(found)
 
 
+def _date_of(text: str) -> tuple[str, str] | None:
+    """(yyyy-MM-dd, notation) of a written date that exists, else null; day before month where both may be."""
+    m = re.fullmatch(r"(\d{4})-(\d\d)-(\d\d)|(\d{1,2})([/.])(\d{1,2})[/.](\d{4})|(\d{1,2}) ([A-Za-z]+) (\d{4})", text)
+    if not m:
+        return None
+    if m[1]:
+        y, mo, d, notation = int(m[1]), int(m[2]), int(m[3]), "iso"
+    elif m[4]:
+        y, mo, d, notation = int(m[7]), int(m[6]), int(m[4]), m[5]
+        if mo > 12:
+            mo, d, notation = d, mo, m[5] + "m"
+    else:
+        y, d, notation = int(m[10]), int(m[8]), "name"
+        mo = _MONTHS.index(m[9].lower()) + 1 if m[9].lower() in _MONTHS else 0
+    try:
+        return datetime.date(y, mo, d).isoformat(), notation
+    except ValueError:
+        return None
+
+
+def permute_birth_date(raw: str, key: bytes) -> str:
+    """Another date in the same notation."""
+    iso, notation = _date_of(raw)
+    y, mo, d = permute_date(iso, key, days=256 * 180).split("-")
+    if notation == "iso":
+        return f"{y}-{mo}-{d}"
+    if notation == "name":
+        return f"{int(d)} {_MONTHS[int(mo) - 1].capitalize()} {y}"
+    sign = notation[0]
+    return sign.join((mo, d, y) if notation.endswith("m") else (d, mo, y))
+
+
 # --- format-preserving pseudonyms --------------------------------------------------------------
 
 ROUNDS = 8
@@ -300,9 +373,26 @@ def canonical(kind: str, raw: str) -> str:
     return bare
 
 
+def permute_phone(number: str, key: bytes, inverse: bool = False) -> str:
+    """A canonical number with another subscriber number of its plan: trunk and area stay, as do what the plan forbids."""
+    if len(number) == 10 and number[0] in "23456789" and number[3] in "23456789":
+        area, rest = number[:3], int(number[3:]) - 2_000_000  # exchanges begin with 2 to 9
+        return area + str(permute(rest, 2_000, 4_000, _own(key, area), inverse) + 2_000_000)
+    kept, rest = number[:-6], number[-6:]
+    return kept + f"{permute(int(rest), 1_000, 1_000, _own(key, kept), inverse):06}"
+
+
+def _own(key: bytes, person: str) -> bytes:
+    return hashlib.blake2b(key + person.encode(), digest_size=32).digest()
+
+
 def placeholder(kind: str, raw: str, key: bytes) -> str:
-    if kind in ("phone", "id_number"):
+    if kind == "phone":
+        return f"[phone:{permute_phone(canonical(kind, raw), key)}]"
+    if kind == "id_number":
         return f"[{kind}:{permute_text(canonical(kind, raw), key)}]"
+    if kind == BIRTH_DATE:
+        return f"[{kind}:{permute_birth_date(raw, key)}]"
     return f"[{kind}]"
 
 
