@@ -38,36 +38,37 @@ STOP_WORDS = set(
     el la los las un una y o pero de del en con por para que no es son era se lo le más como hoy sin muy mi su""".split()
 )
 
-_TAG = re.compile(rf"</?(?:{'|'.join(TAGS)})(?:\s[^<>]*|\s*/)?>|<!--.*?-->|<!doctype[^>]*>", re.I | re.S)
+# All patterns stop at the next sign that could begin the same construct, and pairs of signs are found by ``_pairs``:
+# no text makes them look at a sign more than a few times.
+_TAG = re.compile(rf"</?(?:{'|'.join(TAGS)})(?:\s[^<>]*|\s*/)?>|<!doctype[^<>]*>", re.I)
 _REF = re.compile(r"&(?:#\d{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});")
 _REF_NAMES = {k.rstrip(";") for k in _html.entities.html5 if k.endswith(";")}
 
 # Constructs by kind.  Lines: matched at the start of a line.
 _FENCE = re.compile(r"^ {0,3}(?:```|~~~)", re.M)
 _ATX = re.compile(r"^ {0,3}#{1,6} +\S", re.M)
-_SETEXT = re.compile(r"^[^\n|=>#{][^\n]*\S[^\n]*\n {0,3}(?:={3,}|-{3,}) *$", re.M)
+_SETEXT = re.compile(r"^ {0,3}(?:={3,}|-{3,}) *$", re.M)  # the line before must be a heading's
 _QUOTE = re.compile(r"^ {0,3}> ?\S", re.M)
 _BULLET = re.compile(r"^ {0,3}[-+*] +\S", re.M)
 _ORDERED = re.compile(r"^ {0,3}\d{1,3}[.)] +\S", re.M)
 _INDENTED = re.compile(r"(?:\A|\n[ \t]*\n)(?: {4}|\t)[ \t]*\S")
-_RULED = re.compile(r"^ *\|? *:?-{3,}:? *(?:\| *:?-{3,}:? *)+\|? *$", re.M)
+_RULED = re.compile(r"^ *(?:\| *)?:?-{3,}:? *(?:\| *:?-{3,}:? *)+(?:\| *)?$", re.M)
 _STRONG = re.compile(r"(?<![\w*\\])\*\*(?=\S)[^*\n]*?\S?\*\*(?!\w)|(?<![\w*\\])\*\*\*(?=\S)[^*\n]+?\*\*\*(?!\w)|(?<![\w_])__(?=[^\s_])[^_\n]+?(?<=\S)__(?!\w)")
 _EMPHASIS = re.compile(r"(?<![\w*\\])\*(?=[^\s*])[^*\n]*?(?<=[^\s*])\*(?![\w*])|(?<![\w_\\/])_(?=[^\s_])[^_\n]*?(?<=[^\s_])_(?![\w_])")
 _STRUCK = re.compile(r"~~(?=\S)[^~\n]+?(?<=\S)~~")
 _CODE = re.compile(r"(?<!`)`(?=[^`\s])[^`\n]*?`(?!`)")
-_MD_LINK = re.compile(r"!?\[[^\]\n]*\]\((?:<[^>\n]*>|[^()\s]+)(?:\s+\"[^\"\n]*\")?\)|^\[[^\]\n]+\]: +\S+|<https?://[^>\s]+>", re.M)
+_MD_LINK = re.compile(r"!?\[[^\[\]\n]*\]\((?:<[^<>\n]*>|[^()\s]+)(?:\s+\"[^\"\n]*\")?\)|^\[[^\[\]\n]+\]: +\S+|<https?://[^<>\s]+>", re.M)
 
 _WIKI_LINK = re.compile(r"\[\[[^\[\]\n]+\]\]")
 _TEMPLATE = re.compile(r"\{\{[^{}]+\}\}")
 _WIKI_TABLE = re.compile(r"^\{\|[^\n]*$|^\|\}", re.M)
 _WIKI_HEAD = re.compile(r"^(={2,6}) *[^=\s\n][^\n]*?[^=\s] *\1 *$|^(={2,6}) *[^=\s] *\2 *$", re.M)
 _WIKI_BOLD = re.compile(r"''(?:'?)(?=[^'\s])[^'\n]+?'''?(?!\w)")
-_WIKI_EXT = re.compile(r"(?<!\[)\[(?:https?|ftp)://[^\s\]]+(?: [^\]\n]*)?\](?!\()")
-_WIKI_REF = re.compile(r"<ref\b[^>]*>|__[A-Z]{3,}__|</?nowiki>", re.I)
+_WIKI_EXT = re.compile(r"(?<!\[)\[(?:https?|ftp)://[^\s\[\]]+(?: ([^\[\]\n]*))?\](?!\()")
+_WIKI_REF = re.compile(r"<ref\b[^<>]*>|__[A-Z]{3,}__|</?nowiki>", re.I)
 
 _TEX_ENV = re.compile(r"\\(?:begin|end)\{[A-Za-z*]+\}")
-_TEX_CMD = re.compile(r"\\[a-zA-Z]{2,}\*?(?:\[[^\]\n]*\])?\{[^{}\n]*\}|\\item\b")
-_TEX_INLINE = re.compile(r"\\\([^\n]+?\\\)|\\\[.+?\\\]", re.S)
+_TEX_CMD = re.compile(r"\\[a-zA-Z]{2,}\*?(?:\[[^\[\]\n]*\])?\{[^{}\n]*\}|\\item\b")
 _TEX_DOLLAR = re.compile(r"\$\$[^$]+\$\$|(?<![\\$\w])\$(?=[^\s$])(?=[^$\n]*[\\^_={])[^$\n]*?(?<=[^\s$])\$(?![\w$])")
 _TEX_ESCAPE = re.compile(r"(?<=\w)\\[%&](?=\s|$)|\\[&%$#](?=\s?\w)")
 
@@ -77,6 +78,33 @@ _LEAD = re.compile(r" {0,3}(?:[-+>]|\d{1,3}[.)])\s?| {4}|\t")
 _NEXT_LEAD = re.compile(r"\n(?: {0,3}(?:[-+>]|\d{1,3}[.)])| {4}|\t)")
 
 
+def _pairs(text: str, begin: str, end: str, *, one_line: bool = False) -> Iterator[tuple[int, int]]:
+    """(start, stop) of each stretch from a ``begin`` to the nearest ``end`` after it, without overlaps."""
+    at, close = 0, -1
+    while (start := text.find(begin, at)) >= 0:
+        inner = start + len(begin)
+        if close < inner + 1:
+            close = text.find(end, inner + 1)
+        if close < 0:
+            return
+        if one_line and (line := text.find("\n", inner, close)) >= 0:
+            at = line if text.find(begin, inner, line) < 0 else inner
+            continue
+        yield start, close + len(end)
+        at = close + len(end)
+
+
+def _setext_heads(text: str) -> Iterator[tuple[int, int, int, str]]:
+    """(start, end, stop, sign) of headings whose next line is a rule of = or -."""
+    for m in _SETEXT.finditer(text):
+        end = m.start() - 1
+        if end <= 0:
+            continue
+        start = text.rfind("\n", 0, end) + 1
+        if start < end and text[start] not in "|=>#{" and text[start + 1 : end].strip():
+            yield start, end, m.end(), m[0].strip()[0]
+
+
 def _suspect(text: str) -> bool:
     return bool(
         _SIGNS.search(text) or "''" in text or "==" in text or _LEAD.match(text) or ("\n" in text and ("---" in text or _NEXT_LEAD.search(text)))
@@ -84,7 +112,7 @@ def _suspect(text: str) -> bool:
 
 
 def _html_present(text: str) -> bool:
-    if "<" in text and _TAG.search(text):
+    if "<" in text and (_TAG.search(text) or next(_pairs(text, "<!--", "-->"), None)):
         return True
     if "&" in text and ";" in text:
         return any(m[0][1] == "#" or m[0][1:-1] in _REF_NAMES for m in _REF.finditer(text))
@@ -100,25 +128,30 @@ def kinds_of(text: str | None) -> list[str]:
 
 def constructs(text: str) -> set[str]:
     """Names of the constructs found (for inspection and tests)."""
-    found = {n for n, p in _MARKDOWN.items() if p.search(text)} | {n for n, p in _WIKI.items() if p.search(text)} | {n for n, p in _LATEX.items() if p.search(text)}
-    return found | ({"html"} if _html_present(text) else set())
+    found = {n for n, p in (_MARKDOWN | _WIKI | _LATEX).items() if p.search(text)}
+    more = {"html": _html_present(text), "setext": next(_setext_heads(text), None), "inline": _tex_inline(text)}
+    return found | {n for n, there in more.items() if there}
 
 
-_MARKDOWN = {"fence": _FENCE, "atx": _ATX, "setext": _SETEXT, "quote": _QUOTE, "bullet": _BULLET, "ordered": _ORDERED, "indented": _INDENTED, "ruled": _RULED, "strong": _STRONG, "emphasis": _EMPHASIS, "struck": _STRUCK, "code": _CODE, "mdlink": _MD_LINK}
+_MARKDOWN = {"fence": _FENCE, "atx": _ATX, "quote": _QUOTE, "bullet": _BULLET, "ordered": _ORDERED, "indented": _INDENTED, "ruled": _RULED, "strong": _STRONG, "emphasis": _EMPHASIS, "struck": _STRUCK, "code": _CODE, "mdlink": _MD_LINK}
 _WIKI = {"wlink": _WIKI_LINK, "template": _TEMPLATE, "wtable": _WIKI_TABLE, "whead": _WIKI_HEAD, "wbold": _WIKI_BOLD, "wext": _WIKI_EXT, "wref": _WIKI_REF}
-_LATEX = {"env": _TEX_ENV, "cmd": _TEX_CMD, "inline": _TEX_INLINE, "dollar": _TEX_DOLLAR, "escape": _TEX_ESCAPE}
+_LATEX = {"env": _TEX_ENV, "cmd": _TEX_CMD, "dollar": _TEX_DOLLAR, "escape": _TEX_ESCAPE}
 
 
 def _markdown_present(text: str) -> bool:
-    return any(p.search(text) for p in _MARKDOWN.values())
+    return any(p.search(text) for p in _MARKDOWN.values()) or next(_setext_heads(text), None) is not None
 
 
 def _wiki_present(text: str) -> bool:
     return any(p.search(text) for p in _WIKI.values())
 
 
+def _tex_inline(text: str) -> bool:
+    return "\\" in text and any(next(_pairs(text, a, b, one_line=line), None) for a, b, line in (("\\(", "\\)", True), ("\\[", "\\]", False)))
+
+
 def _latex_present(text: str) -> bool:
-    return any(p.search(text) for p in _LATEX.values())
+    return any(p.search(text) for p in _LATEX.values()) or _tex_inline(text)
 
 
 # --- clean text --------------------------------------------------------------------------------
@@ -127,10 +160,14 @@ def _latex_present(text: str) -> bool:
 SHORT, LONG = 70, 200
 STOPS_LOW, STOPS_HIGH = 0.15, 0.28
 LINKS_HIGH = 0.4
+#: A list of linked lines of so many words on average is one of references, not a menu.
+MENU_WORDS = 5
 
 _HEAD, _LIST, _CODEBLOCK, _FORMULA, _TABLE, _PARA = "heading", "list", "code", "formula", "table", "paragraph"
-#: Stand-ins while a text is rewritten: protected spans, start and end of link text.
-_HOLD, _LINK_ON, _LINK_OFF = "\ue000", "\ue001", "\ue002"
+#: Stand-ins while a text is rewritten: protected spans, start and end of link text, and the escape of these signs in the text itself.
+_HOLD, _LINK_ON, _LINK_OFF, _ESCAPE = "\ue000", "\ue001", "\ue002", "\ue003"
+_OWN = re.compile(f"[{_HOLD}-{_ESCAPE}]")
+_ESCAPED = re.compile(f"{_ESCAPE}([a-d])")
 _HELD = re.compile(f"{_HOLD}(\\d+){_HOLD}")
 
 
@@ -161,48 +198,142 @@ class _Holder:
         return f"${content.strip()}$"
 
 
+def _replaced(text: str, spans: Iterator[tuple[int, int]], put) -> str:
+    """``text`` with each span replaced by what ``put`` makes of it."""
+    out, last = [], 0
+    for a, b in spans:
+        out += [text[last:a], put(text[a:b])]
+        last = b
+    return "".join(out) + text[last:] if last else text
+
+
+def _elements(text: str, names: str, put) -> str:
+    """``text`` with each closed element of these names replaced by ``put(name, content)``; nested ones of the same name end at the first close."""
+    begin = re.compile(rf"<({names})\b[^<>]*>", re.I)
+    out, last, closes = [], 0, {}
+    for m in begin.finditer(text):
+        if m.start() < last:
+            continue
+        name = m[1].lower()
+        close = closes.get(name)
+        if close is None or (close and close.start() < m.end()):
+            close = closes[name] = re.compile(rf"</{name}\s{{0,20}}>", re.I).search(text, m.end()) or False
+        if not close:
+            continue
+        out += [text[last : m.start()], put(name, text[m.end() : close.start()])]
+        last = close.end()
+    return "".join(out) + text[last:] if last else text
+
+
+def _numbered_items(text: str) -> str:
+    """List items as lines: numbers in ordered lists, dashes elsewhere."""
+    stack: list[int | None] = []
+
+    def line(m: re.Match) -> str:
+        name = m[1].lower()
+        if name in ("ol", "ul"):
+            stack.append(0 if name == "ol" else None)
+        elif name in ("/ol", "/ul"):
+            if stack:
+                stack.pop()
+        else:
+            if stack and stack[-1] is not None:
+                stack[-1] += 1
+                return f"\n{stack[-1]}. "
+            return "\n- "
+        return "\n\n"
+
+    return re.sub(r"<(/?[ou]l|li)\b[^<>]*>[ \t\n]{0,200}", line, text, flags=re.I)
+
+
+def _without_templates(text: str) -> str:
+    """Text without closed {{ }} templates, nested to any depth; unclosed ones stay."""
+    begins: list[int] = []
+    spans: list[tuple[int, int]] = []
+    for m in re.finditer(r"\{\{|\}\}", text):
+        if m[0] == "{{":
+            begins.append(m.start())
+        elif begins:
+            a = begins.pop()
+            while spans and spans[-1][0] > a:
+                spans.pop()
+            spans.append((a, m.end()))
+    return _replaced(text, iter(spans), lambda _: "")
+
+
+_TEX_TOKEN = re.compile(r"\\[a-zA-Z]{2,}\*?(?:\[[^\[\]\n]*\])?\{|\\[{}]|[{}]")
+
+
+def _without_commands(text: str) -> str:
+    """Commands replaced by their arguments, nested to any depth; of a link only its text stays, unclosed ones stay as they are."""
+    stack: list[tuple[int, bool]] = []  # where its part of ``out`` begins, whether it is a command
+    out: list[str] = []
+    last, follows = 0, -1
+    for m in _TEX_TOKEN.finditer(text):
+        out.append(text[last : m.start()])
+        last = m.end()
+        token = m[0]
+        if token in ("\\{", "\\}"):
+            out.append(token)
+        elif token == "}" and stack:
+            place, command = stack.pop()
+            if command:
+                head = out[place]
+                out[place] = ""
+                if head.startswith("\\href") and text.startswith("{", last):  # the address goes, its text follows
+                    del out[place:]
+                    follows = last
+            else:
+                out.append("}")
+        elif token == "}":
+            out.append(token)
+        else:
+            stack.append((len(out), token != "{" or m.start() == follows))
+            out.append(token)
+    return "".join(out) + text[last:]
+
+
 def _link(text: str) -> str:
     return f"{_LINK_ON}{text}{_LINK_OFF}"
 
 
 def _from_html(text: str, hold: _Holder) -> str:
-    text = re.sub(r"<!--.*?-->|<(script|style)\b.*?</\1\s*>|<!doctype[^>]*>", " ", text, flags=re.I | re.S)
+    text = _replaced(text, _pairs(text, "<!--", "-->"), lambda _: " ")
+    text = _elements(text, "script|style", lambda _, x: " ")
     strip = lambda x: _html.unescape(_TAG.sub("", x))
-    text = re.sub(r"<pre\b[^>]*>(.*?)</pre\s*>", lambda m: hold.put(_CODEBLOCK, strip(m[1]), True), text, flags=re.I | re.S)
-    text = re.sub(r"<(code|tt|kbd|samp)\b[^>]*>(.*?)</\1\s*>", lambda m: hold.put("inline code", strip(m[2]), False), text, flags=re.I | re.S)
-    text = re.sub(r"<h([1-6])\b[^>]*>(.*?)</h\1\s*>", lambda m: f"\n\n{'#' * int(m[1])} {' '.join(m[2].split())}\n\n", text, flags=re.I | re.S)
-    text = re.sub(r"<a\b[^>]*>(.*?)</a\s*>", lambda m: _link(m[1]), text, flags=re.I | re.S)
-    text = re.sub(r"<li\b[^>]*>\s*", "\n- ", text, flags=re.I)
-    text = re.sub(r"</t[dh]\s*>\s*<t[dh]\b[^>]*>", " | ", text, flags=re.I)
-    text = re.sub(r"<t[dh]\b[^>]*>|</t[dh]\s*>", "", text, flags=re.I)
-    text = re.sub(r"<br\b[^>]*>|<tr\b[^>]*>", "\n", text, flags=re.I)
-    text = re.sub(r"</?(?:p|div|ul|ol|table|blockquote|section|article|header|footer|nav|main|aside|hr|dl|dd|dt|form)\b[^>]*>", "\n\n", text, flags=re.I)
+    text = _elements(text, "pre", lambda _, x: hold.put(_CODEBLOCK, strip(x), True))
+    text = _elements(text, "code|tt|kbd|samp", lambda _, x: hold.put("inline code", strip(x), False))
+    text = _elements(text, "h[1-6]", lambda name, x: f"\n\n{'#' * int(name[1])} {' '.join(x.split())}\n\n")
+    text = _elements(text, "a", lambda _, x: _link(x))
+    text = _numbered_items(text)
+    text = re.sub(r"</t[dh]\s{0,20}>\s{0,200}<t[dh]\b[^<>]*>", " | ", text, flags=re.I)
+    text = re.sub(r"<t[dh]\b[^<>]*>|</t[dh]\s{0,20}>", "", text, flags=re.I)
+    text = re.sub(r"<br\b[^<>]*>|<tr\b[^<>]*>", "\n", text, flags=re.I)
+    text = re.sub(r"</?(?:p|div|table|blockquote|section|article|header|footer|nav|main|aside|hr|dl|dd|dt|form)\b[^<>]*>", "\n\n", text, flags=re.I)
     return _html.unescape(_TAG.sub("", text)).replace("\u00a0", " ")
 
 
 def _from_latex(text: str, hold: _Holder) -> str:
-    text = re.sub(r"\$\$(.+?)\$\$|\\\[(.+?)\\\]|\\begin\{(?:equation|align|displaymath)\*?\}(.+?)\\end\{[a-z]+\*?\}", lambda m: hold.put(_FORMULA, m[1] or m[2] or m[3], True), text, flags=re.S)
-    text = re.sub(r"\\\((.+?)\\\)", lambda m: hold.put("math", m[1], False), text)
+    formula = lambda cut: lambda x: hold.put(_FORMULA, x[cut:-cut], True)
+    text = _replaced(text, _pairs(text, "$$", "$$"), formula(2))
+    text = _replaced(text, _pairs(text, "\\[", "\\]"), formula(2))
+    for name, role in (("equation", _FORMULA), ("align", _FORMULA), ("displaymath", _FORMULA), ("verbatim", _CODEBLOCK), ("lstlisting", _CODEBLOCK)):
+        for star in ("", "*"):
+            begin, end = f"\\begin{{{name}{star}}}", f"\\end{{{name}{star}}}"
+            text = _replaced(text, _pairs(text, begin, end), lambda x, n=len(begin), m=len(end), r=role: hold.put(r, x[n:-m], True))
+    text = _replaced(text, _pairs(text, "\\(", "\\)", one_line=True), lambda x: hold.put("math", x[2:-2], False))
     text = _TEX_DOLLAR.sub(lambda m: hold.put("math", m[0].strip("$"), False), text)
-    text = re.sub(r"\\begin\{(?:verbatim|lstlisting)\}(.*?)\\end\{(?:verbatim|lstlisting)\}", lambda m: hold.put(_CODEBLOCK, m[1], True), text, flags=re.S)
     depth = {"part": 1, "chapter": 1, "section": 2, "subsection": 3, "subsubsection": 4, "paragraph": 5, "title": 1}
     text = re.sub(rf"\\({'|'.join(depth)})\*?\{{([^{{}}]*)\}}", lambda m: f"\n\n{'#' * depth[m[1]]} {m[2]}\n\n", text)
-    text = re.sub(r"[ \t]*\\(?:cite[a-z]*|ref|label|footnotemark|bibliography|vspace|hspace|pagestyle|usepackage|documentclass)\*?(?:\[[^\]]*\])*\{[^{}]*\}", "", text)
-    text = re.sub(r"[ \t]*\\item(?:\[[^\]]*\])?[ \t]*", "\n- ", text)
-    text = re.sub(r"\\(?:begin|end)\{[^{}]*\}(?:\[[^\]]*\])?", "\n\n", text)
-    for _ in range(4):
-        text, n = re.subn(r"\\[a-zA-Z]{2,}\*?(?:\[[^\]\n]*\])?\{([^{}\n]*)\}", r"\1", text)
-        if not n:
-            break
-    return re.sub(r"\\([%&$#_{}])", r"\1", text)
+    text = re.sub(r"(?<![ \t])[ \t]*\\(?:cite[a-z]*|ref|label|footnotemark|bibliography|vspace|hspace|pagestyle|usepackage|documentclass)\*?(?:\[[^\[\]]*\])*\{[^{}]*\}", "", text)
+    text = re.sub(r"(?<![ \t])[ \t]*\\item(?:\[[^\[\]]*\])?[ \t]*", "\n- ", text)
+    text = re.sub(r"\\(?:begin|end)\{[^{}]*\}(?:\[[^\[\]]*\])?", "\n\n", text)
+    return re.sub(r"\\([%&$#_{}])", r"\1", _without_commands(text))
 
 
 def _from_wiki(text: str, hold: _Holder) -> str:
-    text = re.sub(r"<ref\b[^>]*/>|<ref\b[^>]*>.*?</ref>|</?nowiki>|__[A-Z]{3,}__", "", text, flags=re.I | re.S)
-    for _ in range(4):
-        text, n = _TEMPLATE.subn("", text)
-        if not n:
-            break
+    text = re.sub(r"<ref\b[^<>]*/>|</?nowiki>|__[A-Z]{3,}__", "", text, flags=re.I)
+    text = _without_templates(_elements(text, "ref", lambda _, x: ""))
 
     def rows(m: re.Match) -> str:
         out, row = [], []
@@ -218,7 +349,7 @@ def _from_wiki(text: str, hold: _Holder) -> str:
     text = re.sub(r"^\{\|.*?(?:^\|\}|\Z)", rows, text, flags=re.M | re.S)
     text = _WIKI_HEAD.sub(lambda m: f"\n\n{'#' * len(m[1] or m[2])} {m[0].strip().strip('=').strip()}\n\n", text)
     text = re.sub(r"\[\[(?:[^\[\]|\n]*\|)*([^\[\]|\n]*)\]\]", lambda m: _link(m[1]), text)
-    text = re.sub(r"(?<!\[)\[(?:https?|ftp)://[^\s\]]+(?: ([^\]\n]*))?\](?!\()", lambda m: _link(m[1] or ""), text)
+    text = _WIKI_EXT.sub(lambda m: _link(m[1] or ""), text)
     return re.sub(r"'{2,5}", "", text)
 
 
@@ -229,13 +360,16 @@ def _protect_markdown(text: str, hold: _Holder) -> str:
 
 
 def _from_markdown(text: str, hold: _Holder) -> str:
-    text = re.sub(r"^([^\n|>#-][^\n]*)\n {0,3}(={3,}|-{3,}) *$", lambda m: f"\n\n{'#' if m[2][0] == '=' else '##'} {m[1].strip()}\n\n", text, flags=re.M)
+    heads = list(_setext_heads(text))
+    signs = iter(heads)
+    text = _replaced(text, iter([(a, stop) for a, _, stop, _ in heads]), lambda x: f"\n\n{'#' if next(signs)[3] == '=' else '##'} {x[: x.rindex(chr(10))].strip()}\n\n")
     text = re.sub(r"^ {0,3}(#{1,6}) +([^\n]*?)(?: +#+)? *$", r"\n\n\1 \2\n\n", text, flags=re.M)
-    text = re.sub(r"^ *\|? *:?-{3,}:? *(?:\| *:?-{3,}:? *)+\|? *\n?", "", text, flags=re.M)
+    text = re.sub(r"^ *(?:\| *)?:?-{3,}:? *(?:\| *:?-{3,}:? *)+(?:\| *)?\n?", "", text, flags=re.M)
     text = re.sub(r"^ {0,3}(?:> ?)+", "", text, flags=re.M)
     text = re.sub(r"^ {0,3}[-+*] +(?=\S)", "- ", text, flags=re.M)
-    text = re.sub(r"!?\[([^\]\n]*)\]\((?:<[^>\n]*>|[^()\s]+)(?:\s+\"[^\"\n]*\")?\)", lambda m: _link(m[1]), text)
-    text = re.sub(r"<(https?://[^>\s]+)>", lambda m: _link(m[1]), text)
+    for _ in range(2):  # an image may be a link's text
+        text = re.sub(r"!?\[([^\[\]\n]*)\]\((?:<[^<>\n]*>|[^()\s]+)(?:\s+\"[^\"\n]*\")?\)", lambda m: _link(m[1]), text)
+    text = re.sub(r"<(https?://[^<>\s]+)>", lambda m: _link(m[1]), text)
     text = re.sub(r"~~(?=\S)([^~\n]+?)(?<=\S)~~", r"\1", text)
     text = re.sub(r"(?<![\w*\\])(\*{1,3})(?=[^\s*])([^*\n]*?)(?<=\S)\1(?![\w*])", r"\2", text)
     return re.sub(r"(?<![\w_\\/])(_{1,3})(?=[^\s_])([^_\n]*?)(?<=[^\s_])\1(?![\w_])", r"\2", text)
@@ -288,7 +422,7 @@ def label_blocks(blocks: list[tuple[str, str]]) -> list[bool]:
         plain = content.replace(_LINK_ON, "").replace(_LINK_OFF, "")
         words = re.findall(r"[^\W\d_]+", plain.lower())
         stops = sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
-        if linked > LINKS_HIGH * max(1, len(plain)):
+        if linked > LINKS_HIGH * max(1, len(plain)) and not (role in (_LIST, _TABLE) and len(words) >= MENU_WORDS * (plain.count("\n") + 1)):
             first.append(False)
         elif role in (_CODEBLOCK, _FORMULA, _TABLE, _LIST, _HEAD) or len(plain) < SHORT:
             first.append(None)
@@ -300,13 +434,17 @@ def label_blocks(blocks: list[tuple[str, str]]) -> list[bool]:
             first.append(True if stops >= STOPS_HIGH else None)
     if None not in first:
         return first
-    decided = [i for i, x in enumerate(first) if x is not None]
+    # the nearest decided block below and above each one
+    n = len(first)
+    below, above = [-1] * n, [n] * n
+    for i in range(1, n):
+        below[i] = i - 1 if first[i - 1] is not None else below[i - 1]
+    for i in range(n - 2, -1, -1):
+        above[i] = i + 1 if first[i + 1] is not None else above[i + 1]
     out = []
     for i, x in enumerate(first):
         if x is None:
-            below = max((j for j in decided if j < i), default=None)
-            above = min((j for j in decided if j > i), default=None)
-            near = [j for j in (below, above) if j is not None]
+            near = [j for j in (below[i], above[i]) if 0 <= j < n]
             least = min((abs(j - i) for j in near), default=0)
             x = not near or any(first[j] for j in near if abs(j - i) == least)
         out.append(bool(x))
@@ -319,7 +457,7 @@ def clean_text(text: str | None) -> tuple[str | None, list[str]]:
     if not kinds:
         return text, kinds
     hold = _Holder()
-    out = text.replace("\r\n", "\n")
+    out = _OWN.sub(lambda m: _ESCAPE + "abcd"[ord(m[0]) - ord(_HOLD)], text.replace("\r\n", "\n"))
     if "markdown" in kinds:
         out = _protect_markdown(out, hold)
     if "html" in kinds:
@@ -336,7 +474,8 @@ def clean_text(text: str | None) -> tuple[str | None, list[str]]:
         keep = [True] * len(blocks)
     kept = [c for (_, c), k in zip(blocks, keep) if k]
     out = hold.back("\n\n".join(kept)).replace(_LINK_ON, "").replace(_LINK_OFF, "")
-    return re.sub(r"[ \t]{2,}", " ", out) if "```" not in out else out, kinds
+    out = re.sub(r"[ \t]{2,}", " ", out) if "```" not in out else out
+    return _ESCAPED.sub(lambda m: chr(ord(_HOLD) + ord(m[1]) - ord("a")), out), kinds
 
 
 def strip_markup(df: DataFrame, columns: dict[str, str]) -> DataFrame:
