@@ -1,17 +1,20 @@
 """Evaluation passages in a corpus, by a prefix-filtered set join.
 
-The held-out items are few and fixed; they are a stated query set run against
-all documents in blocks of bounded size.  A window of an item is a set of word
+The held-out items are few and fixed; they are a stated query set that goes to
+the executors in blocks of bounded size and is joined with every document where
+it lies, so no document is shuffled.  A window of an item is a set of word
 shingles.  Shingles are ordered by rarity in the whole corpus, and only those
-needed are looked up: if at most E of a window's S shingles may be lost, one
-of its S - E' rarest must occur (the prefix).  Length and position bounds thin
-the candidates; each is then verified exactly over item-sized windows.
+needed are joined: if at most E of a window's S shingles may be lost, one of
+its E + 1 rarest must occur (the prefix).  Each hit gives an item and a shift
+between both texts; a positional bound then asks for the shingles that must
+survive, all within one window near that shift.  What is left is verified
+exactly over item-sized windows.
 """
 
 from __future__ import annotations
 
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import pandas as pd
@@ -25,10 +28,10 @@ SHINGLE = 3
 WINDOW, ERRORS = 18, 0.1
 #: Items looked up at once; more are done block by block.
 BLOCK_ITEMS = 20_000
-#: How far a match may drift from its diagonal (dropped or added words).
-BAND = 6
+#: How far a match may drift from its diagonal (dropped or added words), and how far within one window (three dropped and three added words).
+BAND, DRIFT = 6, 6
 
-_MARKUP = re.compile(r"<[^<>\n]{0,300}>|\]\([^()\s]*\)|&(?:#\d+|#x[0-9a-f]+|[a-z]+);|https?://\S+|\\[a-z]+\*?(?=\{)", re.I)
+_MARKUP = re.compile(r"<[^<>\n]*>|\]\([^()\s]*\)|&(?:#\d+|#x[0-9a-f]+|[a-z]+);|https?://\S+|\\[a-z]+\*?(?=\{)", re.I)
 
 
 def plain_words(text: str | None) -> list[str]:
@@ -111,51 +114,78 @@ def longest_stretch(matched: list[bool], added: list[int], window: int = WINDOW,
     return best
 
 
+def surviving(window: int, errors: float) -> int:
+    """Shingles of a window that surely survive, errors at a cluster's edge included."""
+    return max(1, window - SHINGLE + 1 - SHINGLE * (int(window * errors) + 2))
+
+
+def _near(at: dict[object, list[int]], own: list[object], shift: int, size: int, least: int) -> bool:
+    """Whether some ``size`` neighbouring shingles of an item have ``least`` near their place in the document."""
+    places = [q for q, s in enumerate(own) if s in at and any(abs(p - q - shift) <= DRIFT for p in at[s])]
+    return any(places[k + least - 1] - places[k] < size for k in range(len(places) - least + 1))
+
+
+def _longest(doc: list[str], at: dict[object, list[int]], item: list[str], own: list[object], shifts: set[int], window: int, errors: float) -> int:
+    """Length of the longest stretch of the item near one of the shifts, 0 if there is none of ``window`` words."""
+    best, done = 0, []
+    for shift in sorted(shifts):
+        if any(abs(shift - d) <= 1 for d in done) or not _near(at, own, shift, window - SHINGLE + 1, surviving(window, errors)):
+            continue
+        done.append(shift)
+        best = max(best, longest_stretch(*aligned(doc, item, shift), window, errors))
+        if best == len(item):
+            break
+    return best
+
+
 def held(doc: list[str], item: list[str], window: int = WINDOW, errors: float = ERRORS) -> int:
     """Length of the longest stretch of the item in the document, 0 if there is none of ``window`` words."""
     if len(item) < window or len(doc) < window * (1 - errors) - 1:
         return 0
     at = defaultdict(list)
-    for q, s in enumerate(_shingles(item)):
-        at[s].append(q)
-    shifts: dict[int, int] = defaultdict(int)
     for p, s in enumerate(_shingles(doc)):
-        for q in at.get(s, ()):
-            shifts[p - q] += 1
-    best, done = 0, []
-    for shift, n in sorted(shifts.items(), key=lambda x: (-x[1], x[0])):
-        near = sum(shifts.get(shift + d, 0) for d in range(-BAND, BAND + 1))
-        if near < window - SHINGLE + 1 - SHINGLE * (int(window * errors) + 2) or any(abs(shift - d) <= 1 for d in done):
-            continue
-        done.append(shift)
-        best = max(best, longest_stretch(*aligned(doc, item, shift), window, errors))
-    return best
+        at[s].append(p)
+    own = list(_shingles(item))
+    return _longest(doc, at, item, own, {p - q for q, s in enumerate(own) for p in at.get(s, ())}, window, errors)
 
 
 class _Items:
     """A block of items with its shingles; bounded by ``BLOCK_ITEMS``."""
 
-    def __init__(self, rows: list[tuple[int, str]], window: int):
+    def __init__(self, rows: list[tuple[int, str]], window: int, errors: float):
+        self.window, self.errors = window, errors
         self.words = {i: w for i, t in rows if len(w := plain_words(t)) >= window}
         self.codes: dict[tuple[str, ...], int] = {}
-        for w in self.words.values():
-            for s in _shingles(w):
-                self.codes.setdefault(s, len(self.codes))
-
-    def prefixes(self, frequency: dict[int, int], window: int, errors: float) -> dict[int, list[int]]:
-        """For each needed shingle the items of which it is in a window's prefix."""
-        size = window - SHINGLE + 1
-        keep = size - SHINGLE * (int(window * errors) + 2)  # shingles that surely survive, errors at a cluster's edge included
-        length = size - max(1, keep) + 1
-        out: dict[int, set[int]] = defaultdict(set)
-        for i, w in self.words.items():
-            codes = [self.codes[s] for s in _shingles(w)]
+        self.own = {i: [self.codes.setdefault(s, len(self.codes)) for s in _shingles(w)] for i, w in self.words.items()}
+        self.prefix: dict[int, list[tuple[int, int]]] = {}
+
+    def order(self, frequency: dict[int, int]) -> None:
+        """Keep of each window's shingles those needed, by corpus rarity, with the items and places they stand for."""
+        size = self.window - SHINGLE + 1
+        length = size - surviving(self.window, self.errors) + 1
+        out: dict[int, set[tuple[int, int]]] = defaultdict(set)
+        for i, codes in self.own.items():
             for a in range(max(1, len(codes) - size + 1)):
-                part = sorted(set(codes[a : a + size]), key=lambda c: (frequency.get(c, 0), c))
-                for c in part[:length]:
-                    if c in frequency:
-                        out[c].add(i)
-        return {c: sorted(s) for c, s in out.items()}
+                part = sorted(range(a, min(a + size, len(codes))), key=lambda q: (frequency.get(codes[q], 0), codes[q], q))
+                for q in part[:length]:
+                    if codes[q] in frequency:
+                        out[codes[q]].add((i, q))
+        self.prefix = {c: sorted(s) for c, s in out.items()}
+
+    def found_in(self, doc: list[str]) -> list[tuple[int, int]]:
+        """(item, longest stretch) of the items the document holds."""
+        if len(doc) < self.window * (1 - self.errors) - 1:
+            return []
+        at: dict[int, list[int]] = defaultdict(list)
+        shifts: dict[int, set[int]] = defaultdict(set)
+        code_of, prefix = self.codes.get, self.prefix
+        for p, s in enumerate(_shingles(doc)):
+            c = code_of(s)
+            if c is not None:
+                at[c].append(p)
+                for i, q in prefix.get(c, ()):
+                    shifts[i].add(p - q)
+        return [(i, n) for i, near in shifts.items() if (n := _longest(doc, at, self.words[i], self.own[i], near, self.window, self.errors))]
 
 
 def leaked_items(documents: DataFrame, items: DataFrame, *, window: int = WINDOW, errors: float = ERRORS, block_items: int = BLOCK_ITEMS, scratch: Scratch | None = None) -> DataFrame:
@@ -163,55 +193,43 @@ def leaked_items(documents: DataFrame, items: DataFrame, *, window: int = WINDOW
 
     ``documents``: ``doc_id, text``; ``items``: ``item_id, text``.  Null and
     empty texts hold nothing, items shorter than ``window`` cannot be held;
-    repeated rows give one row each.  Documents are never shuffled by content;
-    only shingle hits and candidates are.
+    repeated rows give one row each.  The driver holds one block of items at a
+    time; documents are read twice for each block and never shuffled.
     """
     spark = documents.sparkSession
     scratch = scratch or Scratch(spark, "leakage")
-    rows = sorted((r["item_id"], r["text"]) for r in items.where("item_id is not null and text is not null").select("item_id", "text").distinct().toLocalIterator())
+    known = items.where("item_id is not null and text is not null").select("item_id", "text").distinct()
+    blocks = max(1, -(-known.count() // block_items))
     docs = documents.where("text is not null and doc_id is not null").select("doc_id", "text")
     found = spark.createDataFrame([], "doc_id bigint, item_id bigint, words int")
-    for start in range(0, len(rows), block_items):
-        found = found.unionByName(_block(docs, _Items(rows[start : start + block_items], window), window, errors, scratch, start))
+    for k in range(blocks):
+        rows = known.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k).collect()
+        block = _Items(sorted((r["item_id"], r["text"]) for r in rows), window, errors)
+        part = _joined(docs, block)
+        found = found.unionByName(part if blocks == 1 else scratch.save(part, f"found{k}"))
     return found.groupBy("doc_id", "item_id").agg(F.max("words").alias("words"))
 
 
-def _block(docs: DataFrame, block: _Items, window: int, errors: float, scratch: Scratch, number: int) -> DataFrame:
-    codes = block.codes
+def _joined(docs: DataFrame, block: _Items) -> DataFrame:
+    context = docs.sparkSession.sparkContext
+    codes = context.broadcast(block.codes)
 
-    def look_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        code_of, n = codes.value.get, Counter()
         for batch in batches:
-            ids, hits = [], []
-            for doc, text in zip(batch["doc_id"], batch["text"]):
-                own = {c for s in _shingles(plain_words(text)) if (c := codes.get(s)) is not None}
-                ids += [doc] * len(own)
-                hits += own
-            yield pd.DataFrame({"doc_id": ids, "code": hits}).astype({"doc_id": "int64", "code": "int32"})
-
-    hits = scratch.save(docs.mapInPandas(look_up, "doc_id bigint, code int"), f"hits{number}")
-    # corpus counts of the items' shingles: as many rows as the block has shingles at most
-    frequency = {r["code"]: r["n"] for r in hits.groupBy("code").agg(F.count("*").alias("n")).collect()}
-    needed = block.prefixes(frequency, window, errors)
-    least = max(1, window - SHINGLE + 1 - SHINGLE * (int(window * errors) + 2))
-    pairs = [(c, i) for c, own in needed.items() for i in own]
-    of_item = [(codes[s], i) for i, w in block.words.items() for s in set(_shingles(w))]
-    spark = docs.sparkSession
-    prefix = spark.createDataFrame(pairs, "code int, item_id bigint")
-    whole = spark.createDataFrame(of_item, "code int, item_id bigint")
-    candidates = hits.join(F.broadcast(prefix), "code").select("doc_id", "item_id").distinct()
-    # length bound: enough of the item's shingles at all
-    enough = (
-        hits.join(F.broadcast(whole), "code").groupBy("doc_id", "item_id").agg(F.count("*").alias("shared")).where(F.col("shared") >= least)
-    )
-    wanted = candidates.join(enough, ["doc_id", "item_id"]).groupBy("doc_id").agg(F.collect_set("item_id").alias("items"))
-    words = block.words
-
-    def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for text in batch["text"]:
+                n.update({c for s in _shingles(plain_words(text)) if (c := code_of(s)) is not None})
+        yield pd.DataFrame({"code": list(n), "n": list(n.values())}).astype("int64")
+
+    # documents of each shingle of the items in the whole corpus: as many rows as the block has shingles at most
+    counted = docs.select("text").mapInPandas(count, "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n"))
+    block.order({r["code"]: r["n"] for r in counted.collect()})
+    shared = context.broadcast(block)
+
+    def join(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        items = shared.value
         for batch in batches:
-            out = []
-            for doc, text, own in zip(batch["doc_id"], batch["text"], batch["items"]):
-                w = plain_words(text)
-                out += [(doc, int(i), n) for i in own if (n := held(w, words[int(i)], window, errors))]
-            yield pd.DataFrame(out, columns=["doc_id", "item_id", "words"])
+            out = [(doc, i, n) for doc, text in zip(batch["doc_id"], batch["text"]) for i, n in items.found_in(plain_words(text))]
+            yield pd.DataFrame(out, columns=["doc_id", "item_id", "words"]).astype({"doc_id": "int64", "item_id": "int64", "words": "int32"})
 
-    return docs.join(wanted, "doc_id").select("doc_id", "text", "items").mapInPandas(verify, "doc_id bigint, item_id bigint, words int")
+    return docs.mapInPandas(join, "doc_id bigint, item_id bigint, words int")
