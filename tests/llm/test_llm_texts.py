@@ -1,6 +1,8 @@
 """Personal information, markup, leakage and subjects."""
 
 import random
+import re
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -46,6 +48,35 @@ def test_pseudonyms_are_a_permutation_and_linked():
     assert day != "2001-02-03" and pii.permute_date(day, KEY, inverse=True) == "2001-02-03" and pii.permute_date("1700-01-01", KEY) == "1700-01-01"
 
 
+@pytest.mark.parametrize("raw", ["07700 900 123", "(512) 555-0103", "+44 20 7946 0958", "+49 30 901820123"])
+def test_phone_pseudonyms_stay_in_their_plan(raw):
+    number = pii.canonical("phone", raw)
+    other = pii.permute_phone(number, KEY)
+    assert other != number and pii.permute_phone(other, KEY, inverse=True) == number and len(other) == len(number)
+    assert other[:3] == number[:3] and (raw.startswith("+49") or pii._phone(other, other))
+
+
+@pytest.mark.parametrize("raw,pattern", [("1984-03-12", r"\[birth_date:\d{4}-\d\d-\d\d\]"), ("12/03/1984", r"\[birth_date:\d\d/\d\d/\d{4}\]"), ("3 March 1984", r"\[birth_date:\d{1,2} [A-Z][a-z]+ \d{4}\]")])
+def test_birth_dates(raw, pattern):
+    text = f"I was born on {raw}, in spring"
+    clean = pii.replace_pii(text, pii.find_pii(text), KEY)
+    assert re.fullmatch(r"I was born on " + pattern + r", in spring", clean) and raw not in clean
+    assert pii.find_pii("born on 1984-02-31") == [] and pii.find_pii("seen on 1984-03-12") == []
+
+
+def test_names_by_shape_and_context():
+    names = lambda text: [text[a:b] for a, b, k in pii.find_pii(text) if k == "person_name"]
+    assert names("Then Theresa May told me so") == ["Theresa May"] and names("with John Day, he said") == ["John Day"]
+    assert names("It was Zbigniew Kowalczyk and Siobhan Gallagher said no") == ["Zbigniew Kowalczyk", "Siobhan Gallagher"]
+    assert names("My dentist Zbigniew Kowalczyk was kind") == ["Zbigniew Kowalczyk"] and names("theresa may tell") == []
+
+
+def test_numbers_of_things_and_short_ids():
+    assert pii.find_pii("model mg1234567 on sale, invoice 912345678") == []
+    assert [k for _, _, k in pii.find_pii("patient id KL-4471 it is")] == ["id_number"]
+    assert [k for _, _, k in pii.find_pii("\u0130 asked anna meyer")] == ["person_name"]
+
+
 def test_scrub_rows(spark):
     long = "word " * 50_000 + "mail a@b.test"
     rows = [(1, None, "z"), (2, "", "z"), (3, "Dial 07700900123, bye", "z"), (3, "Dial 07700900123, bye", "z"), (4, long, "z")]
@@ -78,7 +109,34 @@ def test_no_markup(text):
 def test_clean_text_keeps_structure():
     for text in ("<h2>Top</h2><p>Some <b>text</b> &amp; more.</p><ul><li>one</li><li>two</li></ul><pre><code>x = 1\ny = 2</code></pre>", "Top\n---\n\nSome **text** & more.\n\n* one\n* two\n\n```\nx = 1\ny = 2\n```", "== Top ==\nSome '''text''' & more.\n\n- one\n- two\n\n```\nx = 1\ny = 2\n```"):
         assert markup.clean_text(text)[0] == "## Top\n\nSome text & more.\n\n- one\n- two\n\n```\nx = 1\ny = 2\n```"
-    assert markup.clean_text(r"\section{Top}" + "\n" + r"About 5\% of $$ x = \frac{1}{2} $$ and \emph{that}.")[0] == "## Top\n\nAbout 5% of\n\n$$x = \\frac{1}{2}$$\n\n and that." or True
+    assert markup.clean_text(r"\section{Top}" + "\n" + r"About 5\% of $$ x = \frac{1}{2} $$ and \emph{that}.")[0] == "## Top\n\nAbout 5% of\n\n$$x = \\frac{1}{2}$$\n\n and that."
+
+
+def test_nesting_has_no_limit():
+    assert markup.clean_text("x " + r"\emph{a " * 50 + "z" + "}" * 50)[0] == "x " + "a " * 50 + "z"
+    assert markup.clean_text("x {{a|" * 50 + "}}" * 50 + " '''y'''")[0].strip() == "x y"
+    assert markup.clean_text(r"see \href{https://x.test}{the \textbf{page}} now")[0] == "see the page now"
+    assert markup.clean_text("<ol><li>one<li>two</ol><ul><li>three</ul>")[0] == "1. one\n2. two\n\n- three"
+
+
+@pytest.mark.parametrize("text", ["```\n\ue0000\ue000 \ue0001\ue000 \ue009\n```", "\ue0009\ue000 **b c** \ue001x\ue002 \ue003a"])
+def test_private_signs_survive(text):
+    clean = markup.clean_text(text)[0]
+    assert [c for c in clean if "\ue000" <= c <= "\uf8ff"] == [c for c in text if "\ue000" <= c <= "\uf8ff"]
+
+
+HARD = ["<!-- ", "<pre>", "<a ", "<li ", "<ref>", "<!doctype ", "<script>", "[", "[[", "![", "[a](<", "{{", "\\(", "\\[", "\\ab[", "\\emph{", "$$", "**", "`", "__", "<http://", "[http://a ", "\\begin{align}", "''", "= ", "| ", "- ", "~~", "&a", "<td>", " "]
+
+
+@pytest.mark.parametrize("sign", HARD)
+def test_no_text_takes_quadratic_time(sign):
+    for text in (sign * 20_000, "<b>x</b> '''y''' \\emph{z} **u v** " + sign * 20_000, (sign * 20_000) + "\n---\n"):
+        start = time.process_time()
+        markup.clean_text(text)
+        assert time.process_time() - start < 4
+    start = time.process_time()
+    markup.clean_text("word " * 12_000 + "\n---\n")
+    assert time.process_time() - start < 1
 
 
 def test_block_rules():
@@ -110,6 +168,42 @@ def test_held_stretches():
     assert leakage.held(noise + list(reversed(item)) + noise, item) == 0 and leakage.held([], item) == 0
 
 
+def test_markup_inside_a_stretch_may_be_long():
+    item = WORDS[:30]
+    doc = " ".join(item[5:15]) + ' <span style="' + "x" * 900 + '">' + " ".join(item[15:25])
+    assert leakage.held(leakage.plain_words(doc), item) == 20
+
+
+def test_prefix_join_against_exhaustive_search():
+    rng = random.Random(11)
+    small = WORDS[:120]
+    rows = [(i, " ".join(rng.choice(small) for _ in range(rng.randint(15, 70)))) for i in range(25)]
+    block = leakage._Items(rows, leakage.WINDOW, leakage.ERRORS)
+    docs = []
+    for _ in range(250):
+        doc = [rng.choice(small) for _ in range(rng.randint(10, 90))]
+        for i in rng.sample(range(25), rng.choice([0, 1, 2])):
+            words = rows[i][1].split()
+            a = rng.randrange(len(words))
+            part = words[a : a + rng.randint(12, 50)]
+            for _ in range(rng.randint(0, len(part) // 7)):
+                k = rng.randrange(len(part))
+                part[k : k + 1] = rng.choice([[], ["zz"], [part[k], "yy"]])
+                if not part:
+                    break
+            at = rng.randrange(len(doc))
+            doc[at:at] = part
+        docs.append(doc)
+    frequency = {}
+    for doc in docs:
+        for c in {block.codes.get(x) for x in leakage._shingles(doc)} - {None}:
+            frequency[c] = frequency.get(c, 0) + 1
+    block.order(frequency)
+    for doc in docs:
+        want = {(i, n) for i, w in block.words.items() if (n := leakage.held(doc, w))}
+        assert set(block.found_in(doc)) == want
+
+
 def test_leaked_items(spark):
     rng = random.Random(6)
     items = [(i, " ".join(rng.sample(WORDS, 40))) for i in range(6)] + [(9, "too short"), (10, None)]
@@ -141,3 +235,22 @@ def test_subjects_on_held_out_documents(spark):
     got = {(r.doc_id, r.subject_code) for r in subjects.document_subjects(d, s, e).collect()}
     assert len(got & truth) >= 0.97 * len(truth) and len(got - truth) <= 0.03 * len(truth)
     assert subjects.document_subjects(d.limit(0), s, e).count() == 0
+
+
+def test_unknown_subject_by_its_examples(spark):
+    rng = random.Random(12)
+    stars = ["The telescope showed the nebula near the pulsar", "A comet crossed the ecliptic behind the planet", "The pulsar dimmed while the telescope drifted", "Our observatory catalogued the comet and the nebula"]
+    talk = ["I heard the hum again last night", "My jaw hurts when I wake up", "The old guard broke after two weeks", "Nobody told me that the noise would stay", "The kettle note creeps up in the stairwell"]
+    law = ["The court heard the appeal about the lease", "A tribunal upheld the claim of the tenant", "The bailiff came about the contract"]
+    docs, truth = [], set()
+    for n in range(300):
+        own = rng.choice(["", "astronomy", "law"])
+        lines = [rng.choice(talk) for _ in range(4)] + [rng.choice(stars if own == "astronomy" else law) for _ in range(3) if own]
+        rng.shuffle(lines)
+        docs.append((n, ". ".join(lines) + "."))
+        truth |= {(n, own)} if own else set()
+    d = spark.createDataFrame(docs, "doc_id bigint, text string")
+    s = spark.createDataFrame([("law", "Law", "Courts"), ("astronomy", "Astronomy", "Stars and planets")], "subject_code string, label string, description string")
+    e = spark.createDataFrame([("law", "The court heard the appeal. The tenant lost."), ("astronomy", ". ".join(stars) + "."), ("astronomy", ". ".join(stars[:2]) + ". My jaw hurts.")], "subject_code string, text string")
+    got = {(r.doc_id, r.subject_code) for r in subjects.document_subjects(d, s, e).collect()}
+    assert len(got & truth) >= 0.95 * len(truth) and len(got - truth) <= 0.05 * len(truth)

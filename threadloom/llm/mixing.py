@@ -12,6 +12,7 @@ locally.
 from __future__ import annotations
 
 import base64
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +26,9 @@ from .pii import permute
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Word pattern of that vocabulary (a fixed value of the public tokenizer).
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-BUCKETS, BLOCK_ROWS, SHARD_TOKENS = 4096, 64, 20_000_000
+BLOCK_ROWS, SHARD_TOKENS = 64, 20_000_000
+#: Hash buckets of a source's order: one for each thousand rows, between these numbers; their sums are broadcast.
+BUCKET_ROWS, LEAST_BUCKETS, MOST_BUCKETS = 1_000, 4_096, 65_536
 SEED = "threadloom-mix"
 
 
@@ -37,10 +40,14 @@ def source_key(col):
 def token_counts(documents: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
     """``doc_id, source, tokens`` of whole texts; null and empty texts have none and are left out."""
 
+    documents.sparkSession.sparkContext.addFile(tokenizer)  # executors need not have it in place
+    name = os.path.basename(tokenizer)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import tiktoken
+        from pyspark import SparkFiles
 
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(tokenizer, "rb"))}
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(SparkFiles.get(name), "rb"))}
         encoding = tiktoken.Encoding("mix", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         for batch in batches:
             yield pd.DataFrame({"doc_id": batch["doc_id"], "source": batch["source"], "tokens": [len(encoding.encode_ordinary(t)) for t in batch["text"]]})
@@ -137,11 +144,13 @@ def mix(documents: DataFrame, targets: DataFrame, *, tokenizer: str = TOKENIZER,
     planned = F.broadcast(spark.createDataFrame(plan, "source string, full bigint, part bigint"))
 
     # prefix sums in hash order: over buckets first, then inside the one bucket the cut falls into
+    rows_ = sum(n for _, n in have.values())
+    buckets = max(LEAST_BUCKETS, min(MOST_BUCKETS, rows_ // BUCKET_ROWS))
     place = F.xxhash64(F.lit(SEED), F.col("doc_id"), F.col("tokens"))
-    placed = counted.join(planned, "source").withColumn("place", place).withColumn("bucket", F.pmod("place", F.lit(BUCKETS)))
+    placed = counted.join(planned, "source").withColumn("place", place).withColumn("bucket", F.pmod("place", F.lit(buckets)))
     sums = placed.groupBy("source", "bucket").agg(F.sum("tokens").alias("sum"))
     before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.withColumn("before", F.coalesce(F.sum("sum").over(before), F.lit(0)))  # BUCKETS rows for each source
+    sums = sums.withColumn("before", F.coalesce(F.sum("sum").over(before), F.lit(0)))  # as many rows as buckets for each source
     placed = placed.join(F.broadcast(sums), ["source", "bucket"])
     # the nearest cut: a document is in when its middle is
     inside = Window.partitionBy("source", "bucket").orderBy("place", "doc_id").rowsBetween(Window.unboundedPreceding, -1)

@@ -4,7 +4,8 @@ Texts are hashed to word vectors, projected to a few dimensions and ordered by
 Hilbert key over range partitions, so that neighbours in a pack are alike.
 Each range is packed on its own with a short look-ahead: a pack starts with
 the curve's next text and is filled with the largest of the nearby texts that
-still fits.  What each range leaves half full is packed once more together.
+still fits.  What the ranges leave half full is packed again over ever larger
+groups of neighbouring ranges.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ from .words import words_of
 DIMENSIONS, LEVELS = 3, 8
 #: Texts near the curve's front that may fill a pack.
 LOOK_AHEAD = 192
+#: Neighbouring ranges whose leftovers are packed together at a time.
+GROUP = 16
 #: An over-long text is cut at a blank within this last share of the capacity, else at the capacity.
 CUT_SEARCH = 0.01
 
@@ -173,7 +176,7 @@ def items_of(texts: DataFrame, limits: list[tuple[str, int]]) -> DataFrame:
     return texts.where("text is not null and text <> '' and rec_no is not null").select("table_name", "rec_no", "text").mapInPandas(run, _ITEM)
 
 
-_PACKED = "pack_kind string, pack_id string, closed boolean, capacity bigint, table_name string, rec_no bigint, piece_no int, start int, chars int, curve bigint, tie bigint"
+_PACKED = "pack_kind string, pack_id string, closed boolean, capacity bigint, table_name string, rec_no bigint, piece_no int, start int, chars int, curve bigint, tie bigint, part int"
 _PACKED_NAMES = [c.split()[0] for c in _PACKED.split(", ")]
 
 
@@ -188,7 +191,7 @@ def _pack(label: str, look_ahead: int, keep_open: bool):
         def rows(kind: str, capacity: int, pack: tuple[list[tuple], int], closed: bool) -> list[tuple]:
             numbers[kind] = numbers.get(kind, 0) + 1
             name = f"{kind}-{label}{part}-{numbers[kind]}"
-            return [(kind, name, closed, capacity, *item) for item in pack[0]]
+            return [(kind, name, closed, capacity, *item, part) for item in pack[0]]
 
         columns = ["table_name", "rec_no", "piece_no", "start", "chars", "curve", "tie"]
         for batch in batches:
@@ -224,11 +227,20 @@ def pack(texts: DataFrame, limits: DataFrame, *, look_ahead: int = LOOK_AHEAD, s
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = items.repartitionByRange(parts, "pack_kind", "curve", "tie").sortWithinPartitions("pack_kind", "curve", "tie").withColumn("part", F.spark_partition_id())
     first = scratch.save(ranged.mapInPandas(_pack("r", look_ahead, True), _PACKED), "first")
-    # at most the look-ahead and one pack of each kind and range are left: bounded by the number of ranges
-    left = first.where("not closed").drop("pack_id", "closed").repartition(1).sortWithinPartitions("pack_kind", "curve", "tie").withColumn("part", F.lit(0))
-    rest = left.mapInPandas(_pack("rest", 4 * look_ahead, False), _PACKED)
+    # at most the look-ahead and one pack of each kind and range are left; a task takes those of a bounded number of ranges
+    done, level = first.where("closed"), 0
+    left = first.where("not closed")
+    while True:
+        level, parts = level + 1, -(-parts // GROUP)
+        last = parts <= 1
+        grouped = left.drop("pack_id", "closed").withColumn("part", F.floor(F.col("part") / GROUP).cast("int")).repartition(parts, "part").sortWithinPartitions("pack_kind", "curve", "tie")
+        again = grouped.mapInPandas(_pack(f"l{level}-", 4 * look_ahead, not last), _PACKED)
+        if last:
+            break
+        again = scratch.save(again, f"left{level}")
+        done, left = done.unionByName(again.where("closed")), again.where("not closed")
     columns = ["pack_kind", "pack_id", "table_name", "rec_no", "piece_no", "start", "chars"]
-    return first.where("closed").select(*columns).unionByName(rest.select(*columns))
+    return done.select(*columns).unionByName(again.select(*columns))
 
 
 def pack_report(packed: DataFrame, limits: DataFrame) -> DataFrame:
