@@ -171,3 +171,76 @@ def test_evidence(spark):
     texts = spark.createDataFrame([("t3_x", 1, "hello world"), ("t3_x", 2, "next one")], "thread_id string, place int, text string")
     got = {r.evidence_id: r.status for r in evidence.validate(ev, spark.createDataFrame([("t3_x",)], "thread_id string"), texts).collect()}
     assert got == {1: "valid", 2: "quote_mismatch", 3: "unknown_thread", 4: "valid", 5: "unknown_thread"}
+
+
+def test_quote_over_many_texts_and_windows(spark):
+    words = [f"word{n}" for n in range(400)]
+    texts = spark.createDataFrame([("t", n, w.upper() + "  ") for n, w in enumerate(words)], "thread_id string, place int, text string")
+    ev = spark.createDataFrame([(1, "t", "Word7 word8 word9 WORD10"), (2, "t", "word7 word9"), (3, "t", " ".join(words[100:200])), (4, "t", " ".join(words))], "evidence_id int, thread_id string, quote string")
+    got = {r.evidence_id: r.status for r in evidence.validate(ev, spark.createDataFrame([("t",)], "thread_id string"), texts, window=64).collect()}
+    assert got == {1: "valid", 2: "quote_mismatch", 3: "valid", 4: "valid"}
+
+
+def test_evidence_at_any_depth(spark):
+    node = {"thread_id": "t3_z"}
+    for _ in range(60):
+        node = {"a": [node]}
+    got = evidence.walk(spark.createDataFrame([(json.dumps(node),), (None,)], "j string").select(F.parse_json("j").alias("v"))).collect()
+    assert [r.path for r in got] == ["$" + ".a[0]" * 60]
+
+
+def test_sibling_keys_sort_like_times(spark):
+    times = [-1e12, -5.5, -0.25, 0.0, 0.1, 3.0, 1.3e9, 1e14, 5e18]
+    df = spark.createDataFrame([(n, t) for n, t in enumerate(times)], "n int, t double").select("n", threads.sibling_key(F.col("t"), F.lit("i")).alias("k"))
+    rows = df.orderBy("k").collect()
+    assert [r.n for r in rows] == list(range(len(times))) and {len(r.k) for r in rows} == {threads.KEY_SIGNS + 1}
+
+
+def test_rendered_threads(spark):
+    posts = spark.createDataFrame([("a", "s", "Title", "", None, 5.0, 1, 2, None, None, None)], "id string, subreddit string, title string, selftext string, author string, created_utc double, score bigint, num_comments bigint, permalink string, url string, over_18 boolean")
+    replies = spark.createDataFrame([("c1", "a", None, 1.0, "u", 3, "one", "s"), ("c2", "a", "c1", 2.0, None, None, "", "s"), ("z1", "ghost", None, 1.5, "u", 3, "x", "g")], "id string, link_id string, parent_comment_id string, created_utc double, author string, score bigint, body string, subreddit string")
+    all_ = threads.with_orphans(posts, replies)
+    got = {r.id: r.text for r in threads.rendered(all_, threads.nodes(replies)).collect()}
+    assert got["a"].startswith("# Title\n\n- thread_id: `t3_a`\n") and "- created_utc: `5.0`\n" in got["a"]
+    assert got["a"].endswith("## Comments\n\n- comment_id: `c1` | author: `u` | score: `3` | depth: `0`\n  one\n\n  - comment_id: `c2` | author: `unknown` | score: `None` | depth: `1`\n    [deleted/empty]\n")
+    assert got["ghost"].startswith("# [missing submission]") and "- missing_submission: `True`" in got["ghost"]
+    short = {r.id: r.text for r in threads.rendered(all_, threads.nodes(replies), 1).collect()}
+    assert short["a"].endswith("  one\n\n_Truncated after 1 comments; 1 additional comments omitted._\n")
+
+
+def test_registry_rules(spark):
+    status = lambda *s: spark.createDataFrame([(x,) for x in s], "status string")
+    assert reports.registry_plan(status("new", "unchanged")) and not reports.registry_plan(status("unchanged"))
+    assert reports.registry_plan(status("unchanged"), complete=False) and reports.registry_plan(status("changed"), allow_changed=True)
+    with pytest.raises(ValueError):
+        reports.registry_plan(status("changed"))
+    rows = spark.createDataFrame([(1, "a"), (2, "b")], "n int, v string")
+    assert reports.signature(rows, ["n", "v"]) == reports.signature(rows.orderBy(F.desc("n")), ["n", "v"]) != reports.signature(rows.limit(1), ["n", "v"])
+
+
+def test_upsert(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.upsert(spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"), path, "k")
+    sinks.upsert(spark.createDataFrame([(2, "c"), (3, "d")], "k int, v string"), path, "k")
+    assert sorted(map(tuple, spark.read.parquet(path).collect())) == [(1, "a"), (2, "c"), (3, "d")]
+
+
+def test_command_line(spark, tmp_path):
+    from threadloom.__main__ import main
+
+    root = tmp_path / "in"
+    root.mkdir()
+    write(root / "x_posts.jsonl", POSTS)
+    write(root / "x_comments.jsonl", REPLIES)
+    out = str(tmp_path / "out")
+    assert main(["update", "--input-root", str(root), "--out", out], spark) == 0
+    assert main(["update", "--input-root", str(root), "--out", out], spark) == 0
+    assert main(["extract-quotes", "--corpus", out, "--out", str(tmp_path / "quotes")], spark) == 0
+    assert main(["build-packs", "--corpus", out, "--out", str(tmp_path / "packs")], spark) == 0
+    assert main(["sample", "--corpus", out, "--out", str(tmp_path / "sample"), "--keyword", "one", "--min-comments", "1"], spark) == 0
+    assert main(["build-slice", "--corpus", out, "--out", str(tmp_path / "slice")], spark) == 0
+    assert spark.read.json(str(tmp_path / "sample")).select("thread_id").first()[0] == "t3_abc"
+    assert spark.read.csv(out + "/manifest", header=True).count() == 3
+    proof = {"thread_id": "t3_abc", "submission_id": "abc", "comment_id": "c1", "subreddit": "s", "quote": "ONE two"}
+    (tmp_path / "e.json").write_text(json.dumps({"x": [proof]}))
+    assert main(["validate", "--json", str(tmp_path / "e.json"), "--corpus", out, "--out", str(tmp_path / "report"), "--strict"], spark) == 0

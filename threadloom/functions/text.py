@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -44,6 +46,17 @@ def to_double(col: Column) -> Column:
     return F.trim(col.cast("string")).try_cast("double")
 
 
+def iso_seconds(text: str) -> float:
+    """Epoch seconds of an ISO date or time; one without a zone is UTC."""
+    moment = datetime.fromisoformat(text)
+    return (moment if moment.tzinfo else moment.replace(tzinfo=timezone.utc)).timestamp()
+
+
+def sentences(text: Column) -> Column:
+    """Sentences of the collapsed text, cut after . ! ? and a blank."""
+    return F.filter(F.split(collapse(text), r"(?<=[.!?]) +"), lambda s: s != "")
+
+
 def full_name(col: Column) -> tuple[Column, Column]:
     """(kind, id): ``t1_abc`` is (t1, abc); without a kind the text itself is the id."""
     kind, bare = F.regexp_extract(col, r"(?s)^(t\d)_(.+)$", 1), F.regexp_extract(col, r"(?s)^(t\d)_(.+)$", 2)

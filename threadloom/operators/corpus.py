@@ -25,8 +25,12 @@ def _text(raw: Column, *names: str) -> Column:
     return F.coalesce(*[truthy(F.try_variant_get(raw, f"$.{n}", "string")) for n in names])
 
 
-def submissions_from_raw(raw: DataFrame) -> DataFrame:
-    """Normalises JSON records (``raw, raw_keys, ord``); records without id go."""
+def _kept(keep_raw: bool) -> list[Column]:
+    return [F.to_json("raw").alias("raw_json")] if keep_raw else []
+
+
+def submissions_from_raw(raw: DataFrame, *, keep_raw: bool = False) -> DataFrame:
+    """Normalises JSON records (``raw, raw_keys, ord``); records without id go. ``keep_raw`` adds their JSON text."""
     r = F.col("raw")
     created = F.coalesce(F.nullif(to_double(_text(r, "created_utc")), F.lit(0.0)), to_double(_text(r, "created")))
     over = F.try_variant_get(r, "$.over_18", "string")
@@ -34,19 +38,19 @@ def submissions_from_raw(raw: DataFrame) -> DataFrame:
         full_name(_text(r, "id", "name"))[1].alias("id"), F.coalesce(_text(r, "subreddit"), F.lit("unknown")).alias("subreddit"), collapse(_text(r, "title")).alias("title"),
         collapse(_text(r, "selftext", "body")).alias("selftext"), _text(r, "author").alias("author"), created.alias("created_utc"),
         to_long(_text(r, "score")).alias("score"), to_long(_text(r, "num_comments")).alias("num_comments"), _text(r, "permalink").alias("permalink"),
-        _text(r, "url").alias("url"), (F.lower(over) == "true").alias("over_18"), "raw_keys", "ord",
+        _text(r, "url").alias("url"), (F.lower(over) == "true").alias("over_18"), "raw_keys", "ord", *_kept(keep_raw),
     ).where("id is not null and id <> ''")
 
 
-def comments_from_raw(raw: DataFrame) -> DataFrame:
-    """Normalises JSON records; those without id or ``link_id`` go."""
+def comments_from_raw(raw: DataFrame, *, keep_raw: bool = False) -> DataFrame:
+    """Normalises JSON records; those without id or ``link_id`` go. ``keep_raw`` adds their JSON text."""
     r = F.col("raw")
     link = full_name(_text(r, "link_id", "submission_id"))[1]
     created = F.coalesce(F.nullif(to_double(_text(r, "created_utc")), F.lit(0.0)), to_double(_text(r, "created")))
     return raw.select(
         full_name(_text(r, "id", "name"))[1].alias("id"), F.coalesce(_text(r, "subreddit"), F.lit("unknown")).alias("subreddit"), link.alias("link_id"),
         _text(r, "parent_id").alias("parent_id"), parent_fields(_text(r, "parent_id"), link).alias("p"), collapse(_text(r, "body")).alias("body"),
-        _text(r, "author").alias("author"), created.alias("created_utc"), to_long(_text(r, "score")).alias("score"), _text(r, "permalink").alias("permalink"), "raw_keys", "ord",
+        _text(r, "author").alias("author"), created.alias("created_utc"), to_long(_text(r, "score")).alias("score"), _text(r, "permalink").alias("permalink"), "raw_keys", "ord", *_kept(keep_raw),
     ).where("id is not null and id <> '' and link_id is not null and link_id <> ''").select("*", "p.*").drop("p")
 
 
@@ -77,10 +81,15 @@ def completeness(columns: list[tuple[str, str]]) -> Column:
 
 
 def _best(rows: DataFrame, quality: list[Column]) -> DataFrame:
-    """The best row of each id; ties go to the last. One aggregate with map-side combine."""
-    columns = rows.columns
-    ranked = F.max_by(F.struct(*columns), F.struct(*[q.alias(f"q{n}") for n, q in enumerate(quality)], F.col("ord")))
-    return rows.groupBy(F.col("id").alias("_id")).agg(ranked.alias("r")).select("r.*")
+    """The best row of each id; ties go to the last.
+
+    Only ids, qualities and places are aggregated (sorted, as the packed
+    qualities have no fixed size); texts move once, and only those of ids that
+    occur in several rows are compared at all.
+    """
+    ranked = rows.select(F.col("id").alias("_id"), F.struct(*[q.alias(f"q{n}") for n, q in enumerate(quality)], F.col("ord")).alias("q"))
+    best = ranked.groupBy("_id").agg(F.max("q").alias("q"), F.count("*").alias("n")).where("n > 1").select("_id", F.col("q.ord").alias("_ord"))
+    return rows.join(best, F.col("id") == F.col("_id"), "left").where("_id is null or ord = _ord").drop("_id", "_ord")
 
 
 def dedupe_submissions(rows: DataFrame) -> DataFrame:

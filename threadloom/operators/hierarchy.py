@@ -69,9 +69,9 @@ def resolve(edges: DataFrame, *, spacing: int = SPACING, with_paths: bool = Fals
     scratch = scratch or Scratch(edges.sparkSession, "hierarchy")
     nodes = edges.where("node is not null").groupBy("node").agg(F.min("parent").alias("parent"))
     known = nodes.select(F.col("node").alias("parent"), F.lit(True).alias("known"))
-    nodes = scratch.save(
-        nodes.join(known, "parent", "left").select("node", F.when(F.col("known"), F.col("parent")).alias("parent")), "nodes"
-    )
+    # nodes without a parent stay out of the join: they would all meet in one task
+    linked = nodes.where("parent is not null").join(known, "parent", "left").select("node", F.when(F.col("known"), F.col("parent")).alias("parent"))
+    nodes = scratch.save(linked.unionByName(nodes.where("parent is null").select("node", "parent")), "nodes")
     return resolve_known(nodes, spacing=spacing, with_paths=with_paths, scratch=scratch)
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import lexicon
 from ..functions.text import collapse, matches, unicode_regex
+from ..sources.records import json_value
 
 ADJACENT_WEIGHT = Decimal("0.35")
 MOST_TERMS = 8
@@ -29,6 +30,11 @@ def compiled(config: dict) -> dict:
     }
 
 
+def read_config(spark: SparkSession, path: str) -> dict:
+    """States of a JSON file, with the defaults filled in."""
+    return compiled(json_value(spark, path))
+
+
 def _matches(text: Column, state: dict) -> Column:
     return matches(text, "(?:" + "|".join(f"(?:{p})" for p in state["patterns"]) + ")")
 
@@ -74,10 +80,18 @@ def matched_terms(texts: DataFrame, config: dict = lexicon.STATES, most: int = M
     """
     c = compiled(config)
     found = []
-    for s in [*c["core_states"], *c["adjacent_states"]]:
+    states_ = [*c["core_states"], *c["adjacent_states"]]
+    # one test for each state first: most texts meet none, and few meet more than one
+    met = [F.when(_matches(F.col("text"), s), F.lit(n)) for n, s in enumerate(states_)]
+    hit = texts.select("thread_id", "place", "text", F.explode(F.array_compact(F.array(*met))).alias("state"))
+    plain = F.octet_length("text") == F.length("text")
+    for k, s in enumerate(states_):
+        each = []
         for n, p in enumerate(s["patterns"]):
-            found.append(F.struct(F.lit(s["id"]).alias("state_id"), F.lit(n).alias("pattern"), F.regexp_extract_all("text", F.lit(unicode_regex(p)), F.lit(0)).alias("hits")))
-    rows = texts.select("thread_id", "place", F.explode(F.array(*found)).alias("f")).where(F.size("f.hits") > 0)
+            all_ = lambda r: F.regexp_extract_all("text", F.lit(r), F.lit(0))
+            each.append(F.struct(F.lit(s["id"]).alias("state_id"), F.lit(n).alias("pattern"), F.when(plain, all_("(?i)" + p)).otherwise(all_(unicode_regex(p))).alias("hits")))
+        found.append(F.when(F.col("state") == k, F.array(*each)))
+    rows = hit.select("thread_id", "place", F.explode(F.coalesce(*found)).alias("f")).where(F.size("f.hits") > 0)
     rows = rows.select("thread_id", "place", "f.state_id", "f.pattern", F.posexplode("f.hits").alias("nth", "term")).withColumn("term", collapse(F.col("term"))).where("term <> ''")
     first = rows.groupBy("thread_id", "state_id", F.lower("term").alias("low")).agg(F.min(F.struct("pattern", "place", "nth", "term")).alias("t"))
     # distinct terms of a state in a thread: bounded by the patterns, not by the comments
@@ -85,6 +99,43 @@ def matched_terms(texts: DataFrame, config: dict = lexicon.STATES, most: int = M
     return ranked.groupBy("thread_id", "state_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", F.col("t.term").alias("term")))), lambda x: x["term"]).alias("terms"))
 
 
+def all_terms(terms: DataFrame) -> DataFrame:
+    """``thread_id, matched_terms``: the distinct terms of all states, by lower-cased then plain spelling."""
+    one = terms.select("thread_id", F.explode("terms").alias("term")).distinct()
+    return one.groupBy("thread_id").agg(F.transform(F.array_sort(F.collect_set(F.struct(F.lower("term").alias("low"), "term"))), lambda x: x["term"]).alias("matched_terms"))
+
+
+def slice_report(threads_: DataFrame) -> DataFrame:
+    """``section, key, threads, rank``: totals, and counts of qualifying threads by kind, forum, state and pair.
+
+    ``threads_``: scored threads with ``thread_ord, source_kind, subreddit``.
+    Ranks go by count, then by first occurrence in thread order.
+    """
+    hits = threads_.where("qualifies")
+    one = lambda section, key: hits.select(F.lit(section).alias("section"), key.alias("key"), F.struct("thread_ord", F.lit(0).alias("pos")).alias("at"))
+    many = lambda section, items: hits.select("thread_ord", F.posexplode(items).alias("pos", "key")).select(F.lit(section).alias("section"), "key", F.struct("thread_ord", "pos").alias("at"))
+    ids = F.col("core_ids")
+    pairs = F.flatten(F.transform(ids, lambda a, i: F.transform(F.filter(ids, lambda b, j: j > i), lambda b: F.concat(F.least(a, b), F.lit("|"), F.greatest(a, b)))))
+    rows = one("source_kind", F.col("source_kind")).unionByName(one("subreddit", F.col("subreddit")).where("key <> ''")).unionByName(many("core", ids)).unionByName(many("adjacent", F.col("adjacent_ids"))).unionByName(many("pair", pairs))
+    counted = rows.groupBy("section", "key").agg(F.count("*").alias("threads"), F.min("at").alias("at"))
+    ranked = counted.withColumn("rank", F.row_number().over(Window.partitionBy("section").orderBy(F.desc("threads"), "at"))).drop("at")  # as many rows as keys
+    totals = threads_.agg(F.count("*").alias("scored"), F.count_if("qualifies").alias("matched"), F.count_if("is_priority").alias("priority"))
+    total = totals.select(F.explode(F.array(*[F.struct(F.lit("total").alias("section"), F.lit(k).alias("key"), F.col(k).alias("threads"), F.lit(n + 1).alias("rank")) for n, k in enumerate(("scored", "matched", "priority"))])).alias("t")).select("t.*")
+    return ranked.unionByName(total)
+
+
+def slice_manifest(threads_: DataFrame, terms: DataFrame) -> DataFrame:
+    """Qualifying threads with score, states, terms, title and file name; order by score and time where written."""
+    joined = threads_.where("qualifies").join(all_terms(terms), "thread_id", "left")
+    lists = [F.array_join(c, "|").alias(n) for c, n in (("core_ids", "matched_core_states"), ("adjacent_ids", "matched_adjacent_states"), ("matched_terms", "matched_terms"))]
+    return joined.select("thread_id", "submission_id", "source_kind", "subreddit", "created_utc", "score", "core_score", "adjacent_score", F.col("is_priority").alias("priority_qualifies"), *lists, "title", "markdown_path")
+
+
+def top_threads(threads_: DataFrame, n: int = 25) -> DataFrame:
+    """The best qualifying threads: score, then later time, then id."""
+    return threads_.where("qualifies").orderBy(F.desc("score"), F.desc(F.coalesce("created_utc", F.lit(0.0))), "thread_id").limit(n)
+
+
 def counts(scored_: DataFrame, column: str) -> DataFrame:
     """How many qualifying threads hold each id of an array column; ``first_seen`` settles ties."""
     rows = scored_.where("qualifies").select("thread_id", F.posexplode(column).alias("pos", "id"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,6 +86,17 @@ def input_pairs(files: DataFrame) -> DataFrame:
     )
 
 
+def discover(spark: SparkSession, root: str) -> DataFrame:
+    """``input_pairs`` of all files below a folder; those without a partner have a null path."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path")  # listed, not read
+    return input_pairs(files)
+
+
+def json_value(spark: SparkSession, path: str) -> object:
+    """A small JSON file (a configuration) as a value on the driver."""
+    return json.loads(spark.read.text(path, wholetext=True).first()[0])
+
+
 def file_fingerprints(spark: SparkSession, *paths: str) -> DataFrame:
     """``path, sha256, bytes, lines`` (line feeds) of files."""
     files = spark.read.format("binaryFile").load(list(paths))
