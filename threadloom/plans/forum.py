@@ -264,7 +264,7 @@ def sample_threads(spark: SparkSession, d: str) -> DataFrame:
 
 
 def sample_events(spark: SparkSession, d: str) -> DataFrame:
-    ev = table(spark, d, "events").select("event_type", "user_id", F.col("ts").cast("double").alias("created_utc"), F.lit(0).alias("score"), F.lit(0).alias("thread_ord"))
+    ev = table(spark, d, "events").select("event_type", "user_id", F.col("ts").cast("timestamp").cast("double").alias("created_utc"), F.lit(0).alias("score"), F.lit(0).alias("thread_ord"))
     bounds = reports.sample(ev, after=iso_seconds("2024-01-05"), before=iso_seconds("2024-01-20"))
     return bounds.groupBy("event_type").agg(F.count("*").alias("events"), F.count_distinct("user_id").alias("users"))
 
@@ -422,8 +422,8 @@ _TREE = f"""WITH RECURSIVE {_BASE},
 e AS (SELECT c.*, p.id AS pid FROM c LEFT JOIN c p ON p.link_id = c.link_id AND p.id = c.parent_comment_id),
 t(id, depth, ancestry) AS (SELECT id, 0, '' FROM e WHERE pid IS NULL
   UNION ALL SELECT e.id, t.depth + 1, CASE WHEN t.ancestry = '' THEN t.id ELSE t.ancestry || '>' || t.id END FROM e JOIN t ON e.pid = t.id),
-k AS (SELECT pid AS id, count(*) AS n FROM e WHERE pid IS NOT NULL GROUP BY 1),
-nodes AS (SELECT e.*, t.depth, t.ancestry, coalesce(k.n, 0) AS children, CASE WHEN e.pid IS NULL THEN e.parent_comment_id END AS orphaned FROM e JOIN t USING (id) LEFT JOIN k USING (id)),
+ch AS (SELECT pid AS id, count(*) AS n FROM e WHERE pid IS NOT NULL GROUP BY 1),
+nodes AS (SELECT e.*, t.depth, t.ancestry, coalesce(ch.n, 0) AS children, CASE WHEN e.pid IS NULL THEN e.parent_comment_id END AS orphaned FROM e JOIN t USING (id) LEFT JOIN ch USING (id)),
 st AS (SELECT link_id, count(*) AS comment_count, count(*) FILTER (depth = 0) AS top_level_comment_count, max(depth) AS max_depth, count(orphaned) AS orphaned_root_count FROM nodes GROUP BY 1)"""
 
 _SOURCES = """
@@ -510,7 +510,7 @@ p(i, thread_id, chars, no, held, used) AS (SELECT i, thread_id, chars, 1, 1, cha
     CASE WHEN held >= {most} OR used + o.chars > {chars} THEN o.chars ELSE used + o.chars END FROM p JOIN oo o ON o.i = p.i + 1)"""
 
 
-_PACK_PARTS = "lpad(no::VARCHAR, greatest(3, length(no::VARCHAR)), '0')"
+_PACK_PARTS = "lpad(no::VARCHAR, greatest(3, length(no::VARCHAR))::INT, '0')"
 ORACLES = {
     "q01_thread_manifest": _TREE + " SELECT 't3_' || s.id AS thread_id, s.id AS submission_id, subreddit, created_utc, score, num_comments AS num_comments_submission, coalesce(comment_count, 0) AS comment_count_reconstructed, coalesce(max_depth, 0) AS max_depth, coalesce(orphaned_root_count, 0) AS orphaned_root_count, title FROM s LEFT JOIN st ON st.link_id = s.id",
     "q02_tree_nodes": _TREE + " SELECT id, link_id, depth, children AS children_count, ancestry, orphaned AS orphaned_parent_comment_id FROM nodes",
@@ -562,8 +562,8 @@ ORACLES = {
       u AS (SELECT 'source_kind' AS section, source_kind AS key, i, 0 AS pos FROM y UNION ALL SELECT 'subreddit', subreddit, i, 0 FROM y WHERE subreddit <> ''
         UNION ALL SELECT 'core', unnest(core_ids), i, generate_subscripts(core_ids, 1) FROM y UNION ALL SELECT 'adjacent', unnest(adjacent_ids), i, generate_subscripts(adjacent_ids, 1) FROM y
         UNION ALL SELECT 'pair', least(a.id, b.id) || '|' || greatest(a.id, b.id), a.i, a.p * 100 + b.p FROM (SELECT i, unnest(core_ids) AS id, generate_subscripts(core_ids, 1) AS p FROM y) a JOIN (SELECT i, unnest(core_ids) AS id, generate_subscripts(core_ids, 1) AS p FROM y) b ON a.i = b.i AND a.p < b.p),
-      g AS (SELECT section, key, count(*) AS threads, min(i * 10000 + pos) AS at FROM u GROUP BY 1, 2)
-      SELECT section, key, threads, row_number() OVER (PARTITION BY section ORDER BY threads DESC, at)::INT AS rank FROM g
+      g AS (SELECT section, key, count(*) AS threads, min(i * 10000 + pos) AS spot FROM u GROUP BY 1, 2)
+      SELECT section, key, threads, row_number() OVER (PARTITION BY section ORDER BY threads DESC, spot)::INT AS rank FROM g
       UNION ALL SELECT 'total', 'scored', (SELECT count(*) FROM x), 1 UNION ALL SELECT 'total', 'matched', (SELECT count(*) FROM x WHERE qualifies), 2 UNION ALL SELECT 'total', 'priority', (SELECT count(*) FROM x WHERE is_priority), 3""",
     "q42_top_threads": _STATES + " SELECT thread_id, title, subreddit, score, array_to_string(core_ids, '|') AS core_ids, is_priority FROM x WHERE qualifies ORDER BY score DESC, coalesce(created_utc, 0) DESC, thread_id LIMIT 25",
     "q43_top_priority": _STATES + " SELECT thread_id, subreddit, score FROM x WHERE is_priority ORDER BY score DESC, coalesce(created_utc, 0) DESC, thread_id LIMIT 50",
