@@ -30,10 +30,6 @@ def matches(text: Column, pattern: str) -> Column:
     return F.when(F.octet_length(text) == F.length(text), text.rlike("(?i)" + pattern)).otherwise(text.rlike(unicode_regex(pattern)))
 
 
-def any_of(words: str) -> str:
-    return unicode_regex(rf"\b({words})\b")
-
-
 def to_long(col: Column) -> Column:
     """'' and unreadable text are null; decimals are cut towards zero; infinities are null."""
     text = F.trim(col.cast("string"))
@@ -78,9 +74,11 @@ def distinct_ci(items: Column) -> Column:
     )
 
 
-def hits(text: Column, patterns: list[str], group: int) -> Column:
-    """All hits of the patterns, in pattern order and then by position."""
-    return F.flatten(F.array(*[F.regexp_extract_all(text, F.lit(p), F.lit(group)) for p in patterns]))
+def occurrences(text: Column, pattern: str, group: int) -> Column:
+    """All hits of the case-insensitive pattern by position; texts of single-byte signs take the cheaper ASCII classes."""
+    plain = F.octet_length(text) == F.length(text)
+    each = lambda p: F.regexp_extract_all(text, F.lit(p), F.lit(group))
+    return F.when(plain, each("(?i)" + pattern)).otherwise(each(unicode_regex(pattern)))
 
 
 PASSAGE, LEAST = 320, 24

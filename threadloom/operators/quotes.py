@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import lexicon
-from ..functions.text import any_of, distinct_ci, hits, matches, passages
+from ..functions.text import distinct_ci, matches, occurrences, passages
 
 
 def sources(submissions: DataFrame, comments: DataFrame) -> DataFrame:
@@ -56,14 +56,15 @@ def strength() -> Column:
 def candidates(texts: DataFrame, words: dict[str, str] = lexicon.WORDS, categories_: dict[str, list[str]] = lexicon.CATEGORIES, *, with_signals: bool = True) -> DataFrame:
     """A row for each passage and category, with signals, strength and an id that is stable over runs."""
     rows = categorised(texts, words, categories_).withColumn("quote_strength", strength())
-    rows = rows.select("*", F.explode("categories").alias("category"))
+    if with_signals:
+        # each list is extracted once for a passage, and only where it occurs
+        none = F.array().cast("array<string>")
+        rows = rows.select("*", *[F.when(F.col(f"has_{k}"), occurrences(F.col("passage"), rf"\b({w})\b", 1)).otherwise(none).alias(f"hits_{k}") for k, w in words.items()])
+        items = [F.when(F.array_contains("categories", name), F.struct(F.lit(name).alias("category"), distinct_ci(F.flatten(F.array(*[F.col(f"hits_{k}") for k in lists]))).alias("signals"))) for name, lists in categories_.items()]
+        rows = rows.select("*", F.explode(F.array_compact(F.array(*items))).alias("item")).select("*", "item.*").drop("item", *[f"hits_{k}" for k in words])
+    else:
+        rows = rows.select("*", F.explode("categories").alias("category"))
     digest = F.substring(F.md5(F.concat("passage", F.lit("‖"), "category")), 1, 12)
     rows = rows.withColumn("quote_id", F.concat_ws(":", "thread_id", F.coalesce("comment_id", F.lit("submission")), "category", digest))
-    if with_signals:
-        signals = F.lit(None).cast("array<string>")
-        for name, lists in categories_.items():
-            found = distinct_ci(hits(F.col("passage"), [any_of(words[k]) for k in lists], 1))
-            signals = F.when(F.col("category") == name, found).otherwise(signals)
-        rows = rows.withColumn("signals", signals)
     why = F.create_map(*[F.lit(x) for kv in lexicon.WHY.items() for x in kv])
     return rows.withColumn("why_it_matters", why[F.col("category")]).drop("categories", *[f"has_{k}" for k in words])

@@ -79,19 +79,17 @@ def matched_terms(texts: DataFrame, config: dict = lexicon.STATES, most: int = M
     ``texts``: ``thread_id, place, text`` where ``place`` orders a thread's texts.
     """
     c = compiled(config)
-    found = []
     states_ = [*c["core_states"], *c["adjacent_states"]]
+    if not states_:
+        return texts.sparkSession.createDataFrame([], "thread_id string, state_id string, terms array<string>")
     # one test for each state first: most texts meet none, and few meet more than one
     met = [F.when(_matches(F.col("text"), s), F.lit(n)) for n, s in enumerate(states_)]
     hit = texts.select("thread_id", "place", "text", F.explode(F.array_compact(F.array(*met))).alias("state"))
-    plain = F.octet_length("text") == F.length("text")
-    for k, s in enumerate(states_):
-        each = []
-        for n, p in enumerate(s["patterns"]):
-            all_ = lambda r: F.regexp_extract_all("text", F.lit(r), F.lit(0))
-            each.append(F.struct(F.lit(s["id"]).alias("state_id"), F.lit(n).alias("pattern"), F.when(plain, all_("(?i)" + p)).otherwise(all_(unicode_regex(p))).alias("hits")))
-        found.append(F.when(F.col("state") == k, F.array(*each)))
-    rows = hit.select("thread_id", "place", F.explode(F.coalesce(*found)).alias("f")).where(F.size("f.hits") > 0)
+    # the patterns are values of the rows that are left, so the expression stays small however many there are
+    regexes = F.array(*[F.array(*[F.struct(F.lit(s["id"]).alias("state_id"), F.lit(n).alias("pattern"), F.lit("(?i)" + p).alias("plain"), F.lit(unicode_regex(p)).alias("any")) for n, p in enumerate(s["patterns"])]) for s in states_])
+    rows = hit.select("thread_id", "place", "text", F.explode(F.element_at(regexes, F.col("state") + 1)).alias("p"))
+    regex = F.when(F.octet_length("text") == F.length("text"), F.col("p.plain")).otherwise(F.col("p.any"))
+    rows = rows.select("thread_id", "place", F.struct("p.state_id", "p.pattern", F.regexp_extract_all("text", regex, F.lit(0)).alias("hits")).alias("f")).where(F.size("f.hits") > 0)
     rows = rows.select("thread_id", "place", "f.state_id", "f.pattern", F.posexplode("f.hits").alias("nth", "term")).withColumn("term", collapse(F.col("term"))).where("term <> ''")
     first = rows.groupBy("thread_id", "state_id", F.lower("term").alias("low")).agg(F.min(F.struct("pattern", "place", "nth", "term")).alias("t"))
     # distinct terms of a state in a thread: bounded by the patterns, not by the comments
