@@ -54,7 +54,7 @@ class _Corpus:
 
     @property
     def tree(self) -> DataFrame:
-        return self._once("tree", lambda: threads.nodes(self._links, with_paths=False))
+        return self.ordered.drop("ancestry_comment_ids", "sort_path")  # one walk for both
 
     @property
     def ordered(self) -> DataFrame:
