@@ -228,3 +228,40 @@ def test_mix(spark):
     assert mixed.count() == mixed.select("source", "doc_id", "copy").distinct().count() == mixed.select("shard", "position").distinct().count()
     assert mixed.select("shard").distinct().count() > 2
     assert mixing.mix(docs.limit(0), targets).count() == 0 and mixing.mix(docs, targets.limit(0)).count() == 0
+
+
+def test_giant_texts_with_sentences_in_another_order_are_no_candidates(spark, monkeypatch):
+    rng = random.Random(11)
+    sentences = [[f"w{rng.randrange(300)}" for _ in range(8)] for _ in range(60)]
+    texts = [[w for s in rng.sample(sentences, 60) for w in s] for _ in range(50)]
+    copies = []
+    for k, text in enumerate(texts[:10]):
+        if k % 2:  # every fifth word replaced
+            copies.append([w if i % 5 else f"x{k}n{i}" for i, w in enumerate(text)])
+        else:  # a block of a fifth replaced
+            copies.append(text[:100] + [f"y{k}n{i}" for i in range(90)] + text[190:])
+    df = spark.createDataFrame([(k + 1, f"i{k}", 0, " ".join(t)) for k, t in enumerate(texts + copies)], "rec_no bigint, id string, batch_no int, body string")
+    verified, verify = [], history._verify
+    monkeypatch.setattr(history, "_verify", lambda pairs, *more: verified.append(pairs.count()) or verify(pairs, *more))
+    got = {r.dup_rec_no: r.first_rec_no for r in history.duplicates_of(df, "body").collect()}
+    assert got == {51 + k: k + 1 for k in range(10)}
+    assert sum(verified) <= 300  # of 1,225 pairs
+
+
+@pytest.mark.parametrize("most", [3, 10**6])
+def test_blocks_of_large_groups_give_the_candidates_of_single_places(monkeypatch, most):
+    rng = np.random.default_rng(12)
+    size = 700
+    key = np.repeat([1, 2, 3], [500, 1, 199])
+    n = rng.choice([40, 45, 60, 400], size).astype(np.int32)
+    sketch = rng.integers(0, 2**63, (12, history.SKETCH), np.uint64)[rng.integers(0, 12, size)]
+    many = np.tile(rng.integers(0, 255, (5, 2 * history.MANY), np.uint8), (size, 1))[: int((n > history.GIANT).sum())]
+    signed = np.where(np.arange(size) % 7 == 0, -n, n)
+    run = lambda after: sorted(zip(*history._compare(key, np.arange(size) * 3, signed, sketch, many, after, 0.8, most).to_pydict().values()))
+    later = np.where(np.arange(size) % 3 == 0, 120, np.iinfo(np.int64).max)
+    want = [run(None), run(later)]
+    monkeypatch.setattr(history, "PLACES", 4)
+    monkeypatch.setattr(history, "BLOCK", 16)
+    assert [run(None), run(later)] == want and all(want)
+    monkeypatch.setattr(history, "PLACES", size)
+    assert [run(None), run(later)] == want
