@@ -30,6 +30,10 @@ def test_against_sql(spark, small, name):
     assert mine == sorted(tuple(str(cell(v)) for v in row) for row in cur.fetchall())
 
 
+def test_descendants_against_sql(spark, small):
+    test_against_sql(spark, small, "p7_members")
+
+
 def test_every_query_has_a_plan(spark, small):
     assert set(entry_module.oracle_sql()) <= set(entry_module.queries())
     assert entry_module.entry(spark).columns

@@ -97,6 +97,22 @@ def test_hierarchy_edge_cases(spark):
     assert got == {"a": (-1, "a"), "b": (-1, "a"), "c": (0, "c"), "d": (1, "c"), "": (2, "c")}
 
 
+def test_descendants_on_and_below_loops(spark):
+    rng = random.Random(5)
+    parent = {f"n{i}": f"n{rng.randrange(40)}" for i in range(40)} | {f"c{i}": f"c{(i + 1) % 11}" for i in range(11)} | {"self": "self", "below": "self", "root": None, "leaf": "root"}
+    rows = [(v, "t3_p", None, None if p is None else f"t1_{p}", 0) for v, p in parent.items()]
+    want = set()
+    for v in parent:
+        x, seen = parent[v], [v]
+        while x is not None and x not in seen:
+            want.add((x, v, len(seen)))
+            seen.append(x)
+            x = parent[x]
+    got = [tuple(r) for r in hierarchy.comment_descendants(comments(spark, rows)).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    assert {x for x in want if "below" in x} == {("self", "below", 1)}
+
+
 def test_descendants(spark):
     df = spark.createDataFrame([("a", None), ("b", "a"), ("c", "b")], "node string, parent string")
     paths = hierarchy.resolve(df, with_paths=True)

@@ -146,6 +146,27 @@ def descendants(paths: DataFrame) -> DataFrame:
     )
 
 
+def loop_descendants(looped: DataFrame, scratch: Scratch) -> DataFrame:
+    """As ``descendants``, for the nodes on or below a loop (``node, parent``), which have no path.
+
+    All nodes of a loop are descendants of each other, by the steps from one
+    to the other; no node is its own.  Each round doubles the steps looked up;
+    it ends with the round that meets nobody new.
+    """
+    jump = looped.select("node", F.col("parent").alias("ptr"))
+    pairs = jump.select(F.col("ptr").alias("ancestor"), F.col("node").alias("descendant"), F.lit(1).cast("long").alias("distance")).where("ancestor <> descendant")
+    pairs, steps = scratch.save(pairs, "loop-pairs"), 1
+    known, found = 0, pairs.count()
+    while found > known:
+        ahead = pairs.select(F.col("descendant").alias("ptr"), "ancestor", (F.col("distance") + steps).alias("distance"))
+        more = jump.join(ahead, "ptr").select("ancestor", F.col("node").alias("descendant"), "distance").where("ancestor <> descendant")
+        pairs = scratch.save(pairs.unionByName(more).groupBy("ancestor", "descendant").agg(F.min("distance").alias("distance")), "loop-pairs")
+        known, found = found, pairs.count()
+        jump = scratch.save(jump.join(jump.select(F.col("node").alias("ptr"), F.col("ptr").alias("ptr2")), "ptr").select("node", F.col("ptr2").alias("ptr")), "loop-jumps")
+        steps *= 2
+    return pairs
+
+
 def comment_edges(comments: DataFrame, scratch: Scratch) -> DataFrame:
     """``node, parent`` of the forum's comments; a parent counts only with the same ``link_id``."""
     rows = comments.select(
@@ -166,3 +187,12 @@ def comment_hierarchy(comments: DataFrame, *, with_paths: bool = False, spacing:
     """``resolve`` over the forum's comments: ``node, depth, root[, path]``."""
     scratch = Scratch(comments.sparkSession, "hierarchy")
     return resolve_known(comment_edges(comments, scratch), spacing=spacing, with_paths=with_paths, scratch=scratch)
+
+
+def comment_descendants(comments: DataFrame, *, spacing: int = SPACING) -> DataFrame:
+    """Every ``ancestor, descendant, distance`` of the forum's comments, those on and below loops included."""
+    scratch = Scratch(comments.sparkSession, "hierarchy")
+    edges = comment_edges(comments, scratch)
+    nodes = resolve_known(edges, spacing=spacing, with_paths=True, scratch=scratch)
+    looped = scratch.save(nodes.where("depth < 0").select("node").join(edges, "node"), "looped")
+    return descendants(nodes).unionByName(loop_descendants(looped, scratch))

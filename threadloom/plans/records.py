@@ -34,6 +34,11 @@ def p7_descendants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hierarchy.descendants(nodes).groupBy("ancestor").agg(F.count("*").alias("descendants"), F.max("distance").cast("int").alias("height"))
 
 
+def p7_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The descendants themselves, of nodes in trees and on or below loops; ``p7_descendants`` counts those in trees."""
+    return hierarchy.comment_descendants(table(spark, sf_dir, "comments")).select("ancestor", "descendant", F.col("distance").cast("int").alias("distance"))
+
+
 #: Normal form of ids and first rows, shared by the SQL below.
 _NORM = "regexp_replace(lower(trim({0}, chr(32)||chr(9)||chr(10)||chr(13)||chr(160))), '^t[13]_', '')"
 _FIRSTS = f"""
@@ -64,7 +69,7 @@ u AS (SELECT e.id, e.parent FROM e WHERE e.id NOT IN (SELECT id FROM t)),
 w(id, here, seen) AS (SELECT id, parent, [id] FROM u UNION ALL SELECT w.id, u.parent, list_append(w.seen, w.here) FROM w JOIN u ON u.id = w.here WHERE NOT list_contains(w.seen, w.here)),
 l AS (SELECT id, list_min(seen[list_position(seen, here):]) AS root FROM w WHERE list_contains(seen, here))"""
 
-QUERIES = {"p2_found": p2_found, "p2_report": p2_report, "p7_found": p7_found, "p7_paths": p7_paths, "p7_descendants": p7_descendants}
+QUERIES = {"p2_found": p2_found, "p2_report": p2_report, "p7_found": p7_found, "p7_paths": p7_paths, "p7_descendants": p7_descendants, "p7_members": p7_members}
 
 ORACLES = {
     "p2_found": _ORPHANS + " SELECT owner AS comment_id, field AS ref_field, status, period FROM found WHERE status IS NOT NULL",
@@ -72,4 +77,8 @@ ORACLES = {
     "p7_found": _TREE + _LOOPS + " SELECT id AS comment_id, root AS root_id, CAST(depth AS INTEGER) AS depth FROM t WHERE depth > 0 UNION ALL SELECT id, root, -1 FROM l",
     "p7_paths": _TREE + _LOOPS + " SELECT id AS comment_id, root AS root_id, CAST(depth AS INTEGER) AS depth, path FROM t UNION ALL SELECT id, root, -1, NULL FROM l",
     "p7_descendants": _TREE + ", x AS (SELECT unnest(string_split(path, '>')) AS ancestor, unnest(range(depth, -1, -1)) AS distance FROM t) SELECT ancestor, count(*) AS descendants, CAST(max(distance) AS INTEGER) AS height FROM x WHERE distance > 0 GROUP BY 1",
+    "p7_members": _TREE + _LOOPS + """,
+x AS (SELECT unnest(string_split(path, '>')) AS ancestor, id AS descendant, unnest(range(depth, -1, -1)) AS distance FROM t
+  UNION ALL SELECT unnest(seen[2:]), id, unnest(range(1, len(seen))) FROM w WHERE list_contains(seen, here))
+SELECT ancestor, descendant, CAST(distance AS INTEGER) AS distance FROM x WHERE distance > 0""",
 }
